@@ -219,6 +219,8 @@ for i, g in enumerate("ABCD"):
 measure(16, "poverty_persons", "GAB")
 _ratio(17, "poverty_rate", "GAB", "P", div0)
 measure(23, "max_year", "MAX_YEAR")
+measure(173, "min_age", "MIN_AGE")
+measure(173, "max_age", "MAX_AGE")
 _ratio(41, "mpi_incidence_department", "PIPM", "P")
 _ratio(46, "incidence", "PIPM", "P")
 measure(51, "dwellings", "DW")
@@ -248,7 +250,7 @@ measure(73, "dwellings_female_head", "DW_FEMALE_HEAD")
 measure(76, "mean_deprivations_male_head", "AVG_PRIV_MALE")
 measure(77, "mean_deprivations_female_head", "AVG_PRIV_FEMALE")
 measure(78, "deprivation_gap", ("AVG_PRIV_FEMALE", "AVG_PRIV_MALE"),
-        lambda b: F.coalesce(b("AVG_PRIV_FEMALE"), F.lit(0.0)) - F.coalesce(b("AVG_PRIV_MALE"), F.lit(0.0)))
+        lambda b: blank_sub(b("AVG_PRIV_FEMALE"), b("AVG_PRIV_MALE")))
 measure(79, "households_male_head", "HH_MALE_HEAD")
 measure(80, "households_female_head", "HH_FEMALE_HEAD")
 measure(84, "mean_rooms", "AVG_ROOMS")
@@ -256,7 +258,7 @@ measure(85, "mean_households_per_dwelling", "AVG_HH_PER_DW")
 for i, e in enumerate(EVENTS):
     _ratio(86 + i, f"pct_{EVENT_NAMES[e]}", f"DW_EVENT_{e}", "DW")
 for ref, e in [(93, "inundacion"), (94, "avalancha"), (95, "hundimiento"), (96, "incendio"),
-               (97, "terremoto")]:
+               (97, "terremoto"), (200, "vendaval")]:
     measure(ref, f"mean_{EVENT_NAMES[e]}s", f"AVG_EVENT_{e}")
 _ratio(101, "poverty_incidence", "GAB", "P", div0)
 for k in range(1, 16):
