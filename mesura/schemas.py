@@ -178,6 +178,17 @@ TXT_ALL = "Todas"
 TXT_OVERVIEW = "Visión General: Departamento de Antioquia"
 TXT_SELECTION = "Selección de Filtros: "
 TXT_SUBREGION_ALL = "Todas las subregiones"
+TXT_POVERTY_MILLIONS = " millones de personas en grupos A&B"
+TXT_MPI_HEATMAP = "Privaciones IPM por dimensión – "
+TXT_ALL_CATEGORIES = "Todas las categorías"
+TXT_HOUSEHOLD_HEATMAP = "Condiciones y gastos de los hogares por subregión – "
+TXT_SELECTED_YEAR = "Año selecionado "
+TXT_MPI_CARD = " Personas IPM  |  "
+# Service problems in the order the dominant-problem test checks them.
+SERVICE_PROBLEMS = [("Sin energía", "pct_no_energy"), ("Sin gas", "pct_no_gas"),
+                    ("Sin acueducto", "pct_no_water_supply"),
+                    ("Sin alcantarillado", "pct_no_sewer"),
+                    ("Sin recolección", "pct_no_waste_collection")]
 
 # Population projections: sex and area labels.
 SEX_CODES = {"Hombres": 1, "Mujeres": 2}
