@@ -23,7 +23,8 @@ def lenient_long(c: Column) -> Column:
     null here, where the surveyed pipeline stops with an error.
     """
     d = c.cast("string").try_cast("double")
-    return F.when(d == F.floor(d), d.try_cast("long"))
+    integral = ~F.isnan(d) & (F.abs(d) < 9.2e18) & ((d % 1) == 0)
+    return F.when(integral, d.try_cast("long"))
 
 
 def null_text(c: Column) -> Column:
