@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from mesura.session import ensure_checkpoint_dir, join_path, path_exists
 from mesura.sources.tables import read_table, sized_broadcast
 
-FACT_VERSION = "3"
+FACT_VERSION = "4"
 
 def _columns() -> list[tuple[str, str, str]]:
     """(name, SQL expression, type) in the order of the semantic model."""
@@ -171,10 +171,18 @@ def survey_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey").alias("c")
     n = sized_broadcast(read_table(spark, sf_dir, "nation")).alias("n")
     r = sized_broadcast(read_table(spark, sf_dir, "region")).alias("r")
-    line = read_table(spark, sf_dir, "lineitem").alias("l")
+    # Both sides are hash-partitioned on the order key with the session's
+    # shuffle partition count: at scale these are exactly the exchanges a
+    # sort-merge join needs (so they add none), and when AQE turns the join
+    # into a broadcast at small scale the probe side keeps all partitions
+    # instead of the one split of a single-row-group file.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    line = read_table(spark, sf_dir, "lineitem")
+    line = line.repartition(parts, F.col("l_orderkey")).alias("l")
     oc = (o.join(c, F.col("o.o_custkey") == F.col("c.c_custkey"))
            .join(n, F.col("c.c_nationkey") == F.col("n.n_nationkey"))
            .join(r, F.col("n.n_regionkey") == F.col("r.r_regionkey")))
+    oc = oc.repartition(parts, F.col("o.o_orderkey"))
     j = line.join(oc, F.col("l.l_orderkey") == F.col("o.o_orderkey"))
     return j.select(*[F.expr(f"cast({x} as {t})").alias(nm) for nm, x, t in SURVEY_COLUMNS])
 
