@@ -298,3 +298,50 @@ ANALYTIC_REFS = sorted(set(range(1, 206)) - {m.ref for m in MEASURES.values()} -
 
 def get(names) -> list[Measure]:
     return [MEASURES[n] for n in names]
+
+# Where the window, rank, selector and text measures are produced:
+# ref -> (output column, registered query).
+ANALYTIC_OUTPUTS = {
+    18: ("mpi_subtext", "labels_and_titles"), 19: ("mpi_rank", "rank_incidence"),
+    20: ("top_mpi_rate", "top_municipality"), 21: ("top_mpi_municipality", "top_municipality"),
+    22: ("top_mpi_text", "top_municipality"), 24: ("mpi_rate_current_year", "year_on_year"),
+    25: ("mpi_rate_previous_year", "year_on_year"), 26: ("mpi_change", "year_on_year"),
+    27: ("rise_rank", "year_on_year"), 28: ("largest_rise_municipality", "largest_rise_and_fall"),
+    29: ("rise_text", "largest_rise_and_fall"), 30: ("fall_rank", "year_on_year"),
+    31: ("largest_rise", "largest_rise_and_fall"), 32: ("largest_fall_municipality", "largest_rise_and_fall"),
+    33: ("largest_fall", "largest_rise_and_fall"), 34: ("fall_text", "largest_rise_and_fall"),
+    35: ("mpi_persons_rank", "rank_volume"), 36: ("top_mpi_persons_municipality", "top_municipality"),
+    37: ("top_mpi_persons", "top_municipality"), 38: ("mpi_share", "share_of_total"),
+    39: ("mpi_cumulative", "pareto"), 40: ("mpi_cumulative_pct", "pareto"),
+    42: ("top_mpi_share", "top_municipality"), 43: ("volume_rank", "rank_volume"),
+    44: ("largest_volume_municipality", "largest_volume"), 45: ("leader_share", "largest_volume"),
+    47: ("top_incidence_subregion", "top_subregion"), 48: ("mpi_share_in_subregion", "share_in_subregion"),
+    49: ("mpi_share_in_subregion_all_groups", "share_in_subregion"),
+    50: ("mpi_share_in_subregion_selection", "share_in_subregion"),
+    82: ("material_share (wall)", "share_fixed_base"), 83: ("material_share (floor)", "share_fixed_base"),
+    102: ("poverty_subtext", "labels_and_titles"), 118: ("heatmap_title", "select_indicator"),
+    135: ("mean_spend_food", "expense_means"), 136: ("mean_spend_transport", "expense_means"),
+    137: ("mean_spend_education", "expense_means"), 138: ("mean_spend_health", "expense_means"),
+    139: ("mean_spend_utilities", "expense_means"), 140: ("mean_spend_phone", "expense_means"),
+    141: ("mean_spend_rent", "expense_means"), 142: ("mean_spend_other", "expense_means"),
+    144: ("value", "select_household"), 147: ("heatmap_title", "select_household"),
+    156: ("max_housing_problem", "dominant_problem"), 157: ("dominant_problem", "dominant_problem"),
+    158: ("municipality_share", "share_of_total"), 159: ("pct_persons_municipality", "share_of_total"),
+    160: ("pct_group", "share_in_subregion"), 161: ("bar_label", "group_bar_labels"),
+    166: ("persons_in_selection", "share_of_selection"), 167: ("label_group_a", "share_of_selection"),
+    168: ("label_group_b", "share_of_selection"), 169: ("label_group_c", "share_of_selection"),
+    170: ("label_group_d", "share_of_selection"), 171: ("Subregion", "subregion_options"),
+    172: ("population_coverage_blank", "coverage_population"),
+    176: ("persons_to_verify", "quality_categories"), 177: ("persons_excluded", "quality_categories"),
+    181: ("valid_rank", "rank_quality"), 184: ("office_rank", "rank_quality"),
+    187: ("coordinator_rank", "rank_quality"), 188: ("bar_label_by_group", "labels_and_titles"),
+    189: ("pct_mpi_persons_municipality", "share_of_total"), 190: ("selected_year_text", "labels_and_titles"),
+    191: ("mpi_card", "labels_and_titles"), 192: ("value", "select_sanitary"),
+    193: ("value", "select_material"), 194: ("type_filter", "select_material"),
+    195: ("value", "select_event"), 196: ("value, category_mean", "select_indicator"),
+    197: ("value_pct", "select_household"), 198: ("value_spend", "select_household"),
+    199: ("value", "select_deprivation"), 200: ("value", "select_event_means"),
+    201: ("household_coverage", "coverage_households"), 202: ("axis_value", "select_axis"),
+    203: ("population_coverage", "coverage_population"), 204: ("value", "select_service"),
+    205: ("dwelling_coverage", "coverage_dwellings"),
+}
