@@ -59,3 +59,20 @@ def test_shares_pareto_ranks(spark):
     assert [r["mpi_persons"] for r in out] == [2, 2, 1]
     assert [r["cum"] for r in out] == [4, 4, 5]
     assert [r["rk"] for r in out] == [1, 1, 2]
+
+
+def test_zero_code_matches_blank(spark):
+    """Rule B4: the wall-code-0 dwelling count also counts a missing code."""
+    from mesura.plans.measures import BASES
+    df = spark.createDataFrame([(1, 1, 0), (1, 1, None), (1, 1, 3), (2, 1, None)],
+                               "tip_parentesco long, ide_hogar long, tip_mat_paredes long")
+    r = df.agg(BASES["DW_WALL_0"].make().alias("w0"), BASES["DW_WALL_3"].make().alias("w3"),
+               BASES["DW_WALL_5"].make().alias("w5")).collect()[0]
+    assert (r["w0"], r["w3"], r["w5"]) == (2, 1, None)
+
+
+def test_pareto_blank_row_stays_blank(spark):
+    df = spark.createDataFrame([("a", 3), ("b", None), ("c", 1)], "k string, v long")
+    cum, pct = pareto(q("v"), [])
+    out = {r["k"]: (r["cum"], r["pct"]) for r in df.withColumns({"cum": cum, "pct": pct}).collect()}
+    assert out == {"a": (3, 0.75), "b": (None, None), "c": (4, 1.0)}
