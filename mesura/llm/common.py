@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +21,30 @@ QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's source files to the executors, once a context, so
+    that tasks can import it wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parents[2]
+        file = Path(tempfile.mkdtemp(prefix="mesura-src-")) / "mesura_src.zip"
+        with zipfile.ZipFile(file, "w") as z:
+            for f in sorted((root / "mesura").rglob("*.py")):
+                z.write(f, f.relative_to(root))
+        sc.addPyFile(str(file))
+        _SHIPPED.add(sc.applicationId)
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
