@@ -1,4 +1,4 @@
 """Queries of this subpackage: name -> callable, and the SQL where it can express them."""
 
-from mesura.llm import language_id, near_dedup, packing, topk, toxicity  # noqa: F401
+from mesura.llm import chat_format, html_extract, language_id, near_dedup, packing, quality, topk, toxicity, url_filter  # noqa: F401
 from mesura.llm.common import ORACLE, QUERIES  # noqa: F401

@@ -12,7 +12,8 @@ have the wanted similarity goes, the rest is confirmed on the full sets.
 
 Scale. Documents with equal sets are one class (its least id stands for it),
 so copies never meet in pairs. In a band bucket every member is first
-compared with the bucket's least member only; members that are still in
+compared with one pivot only, the member that shares most buckets with
+others; members that are still in
 another component are then taken as further pivots, a few more in each round,
 until no bucket holds two uncompared members of different components. A group
 of s near copies costs about s comparisons, not s squared, and no link
@@ -56,7 +57,7 @@ class _WordHashes(dict):
     """64-bit hash of a word, kept for repeated words up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -248,21 +249,25 @@ def near_duplicates(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id
     reps = full.join(classes.select(F.col("rep").alias("id"), "f1", "f2"), ["id", "f1", "f2"], "left_semi").select("id", "n", "regs")
 
     keys = reps.select("id", "regs").mapInArrow(_bands(p), "bucket long, id long")
-    shared = keys.groupBy("bucket").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).filter("last != pivot").select("bucket", "pivot")
-    members = shared_table(spark, keys.join(shared, "bucket").select("bucket", "id", "pivot"), "buckets")
+    shared = keys.groupBy("bucket").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count(F.lit(1)).alias("size")).filter("x != y").select("bucket", "size")
+    members = shared_table(spark, keys.join(shared, "bucket"), "buckets")
     # sketches and texts of the members alone: what later rounds read
-    involved = members.select("id").distinct()
-    reps = shared_table(spark, reps.join(involved, "id", "left_semi"), "reps")
+    involved = members.groupBy("id").agg(F.sum("size").alias("weight"))
+    reps = shared_table(spark, reps.join(involved, "id"), "reps")
     texts = shared_table(spark, rows.join(involved, "id", "left_semi"), "texts")
 
-    pairs = members.filter("id != pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+    # the member that shares most buckets with others is nearest to the middle of its group: the first pivot
+    weighed = members.join(reps.select("id", "weight").distinct(), "id").select("bucket", "id", "weight")
+    pivots = weighed.groupBy("bucket").agg(F.max(F.struct("weight", "id")).alias("top")).select("bucket", F.col("top.id").alias("pivot"))
+    members = shared_table(spark, weighed.join(pivots, "bucket"), "members")
+    pairs = members.filter("id != pivot").select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct()
     links = _links(spark, pairs, reps, texts, p, "links")
     tried = members.select("bucket", F.col("pivot").alias("id")).distinct()
-    most = 8
+    most = 2
     while True:
         comps = connected(spark, links)
-        state = (members.select("bucket", "id").join(tried.withColumn("was", F.lit(True)), ["bucket", "id"], "left")
-                 .join(comps, "id", "left").select("bucket", "id", F.coalesce("comp", "id").alias("comp"), F.col("was").isNotNull().alias("was")))
+        state = (members.select("bucket", "id", "weight").join(tried.withColumn("was", F.lit(True)), ["bucket", "id"], "left")
+                 .join(comps, "id", "left").select("bucket", "id", "weight", F.coalesce("comp", "id").alias("comp"), F.col("was").isNotNull().alias("was")))
         # a bucket is open while two members that were no pivots lie in different components
         fresh = state.filter("not was").groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
         wide = fresh.groupBy("bucket").agg(F.max(F.struct("n", (-F.col("comp")).alias("c"))).alias("top"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
@@ -270,14 +275,14 @@ def near_duplicates(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id
         rest = state.filter("not was and comp != main")
         if rest.isEmpty():
             break
-        turn = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
+        turn = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("weight"), "id"))
         pivots = shared_table(spark, rest.withColumn("turn", turn).filter(F.col("turn") <= most).select("bucket", F.col("id").alias("pivot"), F.col("comp").alias("pivot_comp")), "pivots")
         more = (state.join(pivots, "bucket").filter("comp != pivot_comp")
                 .select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct())
         found = _links(spark, more, reps, texts, p, "links")
         links = links.union(found)
         tried = tried.union(pivots.select("bucket", F.col("pivot").alias("id"))).distinct()
-        most *= 8
+        most *= 4
 
     # a class is reached through its least id; an id with several texts links their classes
     if_many = full.join(classes, ["f1", "f2"]).filter("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
