@@ -1,25 +1,58 @@
 """Corpus pipeline: toxicity, language, near duplicates, packing.
 
-Each stage takes (spark, docs, sf_dir); its result is written as Parquet and
-read again as the next stage's ``docs``.
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before
+kept; its result is written as Parquet and read again as the next one's
+``docs``. All but the last return the columns of ``docs``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from mesura.llm.common import read_table, shared_table
-from mesura.llm.near_dedup import near_duplicates
+from mesura.llm import language_id, near_dedup, packing, toxicity
+from mesura.llm.common import doc_split, read_table, shared_table, ship
 
 
-def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the
-    least id. Rows that repeat its id exactly go as well."""
-    kept = near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose toxicity is below the threshold. Labels of rows with
+    crc32(doc_id) divisible by 5 are not learned from."""
+    ship(spark)
+    p = toxicity.Params()
+    labels = read_table(spark, sf_dir, "labels").filter(doc_split("doc_id", 5) != 0)
+    model = toxicity.fit(docs, labels, p)
+    score = "__toxicity"
+    return toxicity.scored(docs, model, to=score).filter(F.col(score) < p.threshold).select(*docs.columns)
 
 
-STAGES = [("near_dedup", deduplicate)]
+def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows with a text in which a learned language is found; a null text and
+    one without a letter go."""
+    ship(spark)
+    profiles = language_id.fit(docs.filter(doc_split("doc_id", 4) != 2))
+    lang, score = "__language", "__language_score"
+    return language_id.predicted(docs, profiles, to=lang, score=score).filter(F.col(lang) != language_id.UNKNOWN).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the least
+    id, and of rows that repeat that id the one with the least text. Rows with
+    a null id stay."""
+    ship(spark)
+    kept = near_dedup.near_duplicates(docs).filter("kept and doc_id is not null").select(F.col("doc_id").alias("__kept")).distinct()
+    rows = docs.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi")
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    one = rows.withColumn("__nth", nth).filter(F.col("__nth") == 1).select(*docs.columns)
+    return one.union(docs.filter(F.col("doc_id").isNull()))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and their places in sequences."""
+    ship(spark)
+    return packing.pack(docs)
+
+
+STAGES = [("toxicity", drop_toxic), ("language_id", drop_unknown_language), ("near_dedup", drop_near_duplicates), ("packing", pack)]
 
 #: Learned stages and sequence numbers have no SQL.
 ORACLE_SQL = None

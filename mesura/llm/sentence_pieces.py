@@ -23,6 +23,8 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +57,28 @@ class Params:
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+_MASK = (1 << 20) - 1
+_WHOLE = (1 << 64) - 1
+
+
+def _tables(keys: np.ndarray, ids: np.ndarray) -> list[tuple[np.uint64, np.ndarray, np.ndarray]]:
+    """Hash tables one behind the other: (shift, keys, ids), each by other
+    bits of the hash; what meets a taken slot goes to the next. -3 marks a
+    free slot."""
+    out = []
+    while len(keys):
+        shift = np.uint64((44 - 11 * len(out)) % 45)
+        at = (keys >> shift).astype(np.int64) & _MASK
+        _, first = np.unique(at, return_index=True)
+        own, value = np.zeros(_MASK + 1, np.uint64), np.full(_MASK + 1, -3, np.int64)
+        own[at[first]], value[at[first]] = keys[first], ids[first]
+        out.append((shift, own, value))
+        left = np.ones(len(keys), bool)
+        left[first] = False
+        keys, ids = keys[left], ids[left]
+    return out
+
+
 class Pieces:
     """The vocabulary's pieces by a hash of their code points."""
 
@@ -64,11 +88,11 @@ class Pieces:
         size = sp.get_piece_size()
         self.text = [sp.id_to_piece(i) for i in range(size)]
         self.byte = np.full(256, -1, np.int64)
-        self.value = np.full(size, -1, np.int64)
+        self.said = [s.replace(SPACE, " ").encode() for s in self.text]  # by a piece in a decoded text
         keep: list[int] = []
         for i, s in enumerate(self.text):
             if sp.is_byte(i):
-                self.byte[int(s[3:5], 16)], self.value[i] = i, int(s[3:5], 16)
+                self.byte[int(s[3:5], 16)], self.said[i] = i, bytes([int(s[3:5], 16)])
             # a mark elsewhere than in front would cross words
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)) and s and SPACE not in s[1:] and "\n" not in s:
                 keep.append(i)
@@ -77,48 +101,52 @@ class Pieces:
         logp[order] = -p.alpha * np.log(np.arange(len(order)) + p.shift)
         self.unknown = float(-p.alpha * (np.log(len(order) + p.shift) + 2.0))  # of a byte
         self.longest = max(len(self.text[i]) for i in keep)
-        h = np.array([self.hash(self.text[i]) for i in keep], np.uint64)
-        at = np.argsort(h)
-        self.hashes, self.ids = h[at], np.array(keep)[at]
+        # every ending of a piece, with the piece it is, if it is one
+        known: dict[int, int] = {}
+        for i in keep:
+            h, power = 0, 1
+            for c in reversed(self.text[i]):
+                h = (h + self.sign(c) * power) & _WHOLE
+                power = power * int(_BASE) & _WHOLE
+                known.setdefault(h, -1)
+            known[h] = i
+        self.tables = _tables(np.fromiter(known, np.uint64, len(known)), np.fromiter(known.values(), np.int64, len(known)))
         self.logp = logp
 
     @staticmethod
-    def hash(text: str) -> np.uint64:
-        h = np.uint64(0)
-        with np.errstate(over="ignore"):
-            for c in text:
-                h = h * _BASE + mix64(np.uint64(ord(c)) + np.uint64(1))
-        return h
+    @cache
+    def sign(c: str) -> int:
+        return int(mix64(np.array([ord(c) + 1], np.uint64))[0])
 
     def find(self, h: np.ndarray) -> np.ndarray:
-        """Piece id of each hash, -1 if none."""
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == h, self.ids[at], -1)
+        """For each hash the piece's id, -1 for an ending of a piece only, -2
+        for neither."""
+        out = np.full(len(h), -2, np.int64)
+        rest = np.arange(len(h))
+        for shift, keys, ids in self.tables:
+            at = (h[rest] >> shift).astype(np.int64) & _MASK
+            hit = keys[at] == h[rest]
+            out[rest[hit]] = ids[at[hit]]
+            rest = rest[~hit & (ids[at] != -3)]
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of piece ids."""
-        out = bytearray()
-        for i in ids.tolist():
-            v = self.value[i]
-            if v >= 0:
-                out.append(v)
-            else:
-                out += self.text[i].replace(SPACE, " ").encode()
-        return out.decode()
+        return b"".join(map(self.said.__getitem__, ids.tolist())).decode()
 
 
 def words_of(text: str, longest: int) -> list[str]:
     """A text cut where no piece may cross: before each space, around a line
     end or a mark, and in over-long words."""
     found = _WORD.findall(text)
-    if any(len(w) > longest for w in found):
+    if max(map(len, found), default=0) > longest:
         found = [w[k:k + longest] for w in found for k in range(0, len(w), longest)]
     return found
 
 
 class Lattices:
     """Lattices of distinct words with, for each end position, its incoming
-    pieces and their cumulative probabilities in the backward draw."""
+    pieces and the cumulative probabilities of the backward draw."""
 
     def __init__(self, words: list[str], pieces: Pieces):
         joined = "".join(words)
@@ -134,61 +162,63 @@ class Lattices:
         word = np.repeat(np.arange(len(words)), length)
         place = np.arange(len(code)) - start[word]
         end_node = self.node[word] + place + 1
-        ends, begins, ids, costs = [], [], [], []
+        found_at: list[tuple[np.ndarray, int, np.ndarray, np.ndarray]] = []  # end, signs, piece, log-probability
         h = np.zeros(len(code), np.uint64)
         power = np.uint64(1)
+        ok = np.arange(len(code))
         with np.errstate(over="ignore"):
-            for n in range(1, min(pieces.longest, int(length.max(initial=0))) + 1):
-                # hash of the n signs that end here, grown to the left
-                ok = np.flatnonzero(place >= n - 1)
-                if not len(ok):
-                    break
-                h[ok] = h[ok] + sign[ok - (n - 1)] * power
+            n = 1
+            while len(ok):
+                # hash of the n signs that end here, grown to the left while a piece ends so
+                h[ok] += sign[ok - (n - 1)] * power
                 power = power * _BASE
                 found = pieces.find(h[ok])
                 if n == 1:
                     bare = ok[found < 0]
                     size = np.where(code[bare] < 0x80, 1, np.where(code[bare] < 0x800, 2, np.where(code[bare] < 0x10000, 3, np.where(code[bare] == 0x110000, 3, 4))))
-                    ends.append(end_node[bare])
-                    begins.append(end_node[bare] - 1)
-                    ids.append(np.full(len(bare), -1))
-                    costs.append(size * pieces.unknown)
+                    found_at.append((end_node[bare], 1, np.full(len(bare), -1), size * pieces.unknown))
                 hit = found >= 0
-                ends.append(end_node[ok[hit]])
-                begins.append(end_node[ok[hit]] - n)
-                ids.append(found[hit])
-                costs.append(pieces.logp[found[hit]])
-        end, begin, piece, cost = (np.concatenate(x) if x else np.zeros(0) for x in (ends, begins, ids, costs))
-        order = np.lexsort((piece, begin, end))
-        end, begin, self.piece, cost = end[order].astype(np.int64), begin[order].astype(np.int64), piece[order].astype(np.int64), cost[order].astype(float)
-        self.begin = begin
-        self.first = np.searchsorted(end, np.arange(nodes + 1))
+                found_at.append((end_node[ok[hit]], n, found[hit], pieces.logp[found[hit]]))
+                ok = ok[found > -2]
+                ok = ok[place[ok] >= n]
+                n += 1
+        # edges in order of their end node; an end has one edge of a length at most
+        count = np.zeros(nodes + 1, np.int64)
+        for end, _, _, _ in found_at:
+            count[end + 1] += 1
+        self.first = np.cumsum(count)
+        edges, cursor = int(self.first[-1]), self.first[:-1].copy()
+        end, begin, piece, cost = np.zeros(edges, np.int64), np.zeros(edges, np.int64), np.zeros(edges, np.int64), np.zeros(edges)
+        for e, n, x, c in found_at:
+            at = cursor[e]
+            end[at], begin[at], piece[at], cost[at] = e, e - n, x, c
+            cursor[e] += 1
         # forward sums, all words at once, place by place
         alpha = np.full(nodes, -np.inf)
         alpha[self.node] = 0.0
-        at_place = np.zeros(nodes, np.int64)
+        at_place = np.zeros(nodes, np.int16)
         at_place[end_node] = place + 1
-        by_place = np.argsort(at_place[end], kind="stable")
-        bounds = np.searchsorted(at_place[end][by_place], np.arange(1, int(length.max(initial=0)) + 2))
-        reach = np.zeros(len(end))
+        edge_place = at_place[end]
+        by_place = np.argsort(edge_place, kind="stable")
+        bounds = np.searchsorted(edge_place[by_place], np.arange(1, int(length.max(initial=0)) + 2))
+        reach = np.zeros(edges)
         for k in range(len(bounds) - 1):
             e = by_place[bounds[k]:bounds[k + 1]]
             if not len(e):
                 continue
             x = alpha[begin[e]] + cost[e]
-            head = np.flatnonzero(np.concatenate([[True], end[e][1:] != end[e][:-1]]))
+            own = end[e]
+            head = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
             top = np.maximum.reduceat(x, head)
             total = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, np.diff(np.append(head, len(e))))), head))
-            alpha[end[e][head]] = total
+            alpha[own[head]] = total
             reach[e] = x
         share = np.exp(reach - alpha[end])
-        self.total = alpha
-        # cumulative shares of a node's edges, one above the other from node to node: one sorted array
-        c = np.cumsum(share)
-        before = np.concatenate([[0.0], c])[self.first[end]]
-        self.upto = np.minimum(c - before, 1.0) + end
-        last = self.first[1:][np.diff(self.first) > 0] - 1
-        self.upto[last] = end[last] + 1.0
+        # cumulative shares of a node's edges
+        upto = np.cumsum(share)
+        upto -= np.concatenate([[0.0], upto])[self.first[end]]
+        upto[self.first[1:][np.diff(self.first) > 0] - 1] = 2.0  # the last takes what rounding leaves
+        self.begin, self.piece, self.upto = begin, piece, upto
 
     def sample(self, word: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sampled edges of word occurrences (number of the distinct word, key
@@ -196,9 +226,12 @@ class Lattices:
         at = self.node[word] + self.length[word]
         who, step, out_who, out_edge = np.arange(len(word)), 0, [], []
         while len(who):
-            u = (mix64(key[who] + np.uint64(step + 1) * _BASE) >> np.uint64(11)).astype(float) * 2.0 ** -53
-            edge = np.searchsorted(self.upto, at + u, side="right")
-            edge = np.minimum(np.maximum(edge, self.first[at]), self.first[at + 1] - 1)
+            u = (mix64(key[who] + np.uint64(((step + 1) * int(_BASE)) & 0xFFFFFFFFFFFFFFFF)) >> np.uint64(11)).astype(float) * 2.0 ** -53
+            edge = self.first[at]
+            far = np.flatnonzero(self.upto[edge] <= u)
+            while len(far):
+                edge[far] += 1
+                far = far[self.upto[edge[far]] <= u[far]]
             out_who.append(who)
             out_edge.append(edge)
             at = self.begin[edge]
@@ -211,6 +244,14 @@ class Lattices:
         return w[order], e[order]
 
 
+class _Numbers(dict):
+    """Numbers words in order of their first use."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 class Sampler:
     """Sampled encodings of many texts."""
 
@@ -236,8 +277,8 @@ class Sampler:
         return [np.concatenate(x) if x else np.zeros(0, np.int32) for x in out]
 
     def _draw(self, todo: list[tuple[int, int, list[str]]], keys: np.ndarray, out: list[list[np.ndarray]]) -> None:
-        number: dict[str, int] = {}
-        ids = np.fromiter((number.setdefault(w, len(number)) for _, _, part in todo for w in part), np.int64)
+        number = _Numbers()
+        ids = np.fromiter(chain.from_iterable(map(number.__getitem__, part) for _, _, part in todo), np.int64)
         distinct = list(number)
         lattices = Lattices(distinct, self.pieces)
         counts = np.array([len(part) for _, _, part in todo])
@@ -266,19 +307,21 @@ class Sampler:
             out[i].append(piece[a:b].astype(np.int32))
 
 
-_SAMPLERS: dict[tuple[str, Params], Sampler] = {}
+@cache
+def sampler(file: str, p: Params) -> Sampler:
+    """A worker keeps it for its next tasks."""
+    return Sampler(Pieces(file, p), p)
 
 
 def _encode(p: Params, file: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler = _SAMPLERS.setdefault((file, p), None) or Sampler(Pieces(file, p), p)
-        _SAMPLERS[file, p] = sampler
+        own = sampler(file, p)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 texts = [x.as_py() for x in part.column(1)]
                 keys = part.column(0).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-                ids = iter(sampler.encode([t for t in texts if t is not None], keys[[t is not None for t in texts]]))
+                ids = iter(own.encode([t for t in texts if t is not None], keys[[t is not None for t in texts]]))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([None if t is None else next(ids) for t in texts], pa.list_(pa.int32()))], names=["doc_id", "pieces"])
     return run
 
@@ -296,7 +339,7 @@ def encode(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_c
 
 def _decode(p: Params, file: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(file, p)
+        pieces = sampler(file, p).pieces
         for batch in batches:
             n, crc, text = [], [], []
             for x in batch.column(1):
