@@ -33,13 +33,13 @@ from mesura.llm.common import read_table, register
 @dataclass(frozen=True)
 class Params:
     """``pages`` of at most ``page_chars`` characters are trained on, in order
-    of a hash of the id, each also in ``skeletons`` generated ones. ``paths``
+    of a hash of the id, and on ``skeletons`` generated ones of their texts. ``paths``
     and ``words`` are hash sizes, ``width`` that of a hashed vector, ``hidden``
     of each direction."""
 
     pages: int = 300
     page_chars: int = 100_000
-    skeletons: int = 3
+    skeletons: int = 900
     paths: int = 1024
     words: int = 1024
     width: int = 16
@@ -425,19 +425,19 @@ def training_set(pages: list[str], p: Params) -> tuple[list[list[Block]], list[n
             mains.append([b.text for b, k in zip(own, y) if k])
         texts += [b.text for b in own]
     texts = [t for t in texts if t] or ["lorem ipsum"]
-    for main in [m for m in mains if m] or [[t] for t in texts[:50]]:
-        for _ in range(p.skeletons):
-            k = int(rng.integers(1, min(len(main), 12) + 1))
-            page, said = skeleton(main[:k], texts, rng)
-            own, left = blocks(page), list(said)
-            y = np.zeros(len(own), bool)
-            at = 0
-            for j, b in enumerate(own):  # the main texts come in order inside their container
-                if at < len(left) and b.text == left[at] and not frozenset(SIDE_NAMES) & set(b.path):
-                    y[j], at = True, at + 1
-            if at == len(left):
-                xs.append(own)
-                ys.append(y)
+    mains = [m for m in mains if m] or [[t] for t in texts[:50]]
+    for turn in range(p.skeletons):
+        main = mains[turn % len(mains)]
+        k = int(rng.integers(1, min(len(main), 12) + 1))
+        page, said = skeleton(main[:k], texts, rng)
+        own, at = blocks(page), 0
+        y = np.zeros(len(own), bool)
+        for j, b in enumerate(own):  # the main texts come in order inside their container
+            if at < len(said) and b.text == said[at] and not frozenset(SIDE_NAMES) & set(b.path):
+                y[j], at = True, at + 1
+        if at == len(said):
+            xs.append(own)
+            ys.append(y)
     return xs, ys
 
 

@@ -15,7 +15,6 @@ logistic sum of the weights of its lexicon hits.
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 import unicodedata
@@ -26,6 +25,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -149,7 +149,11 @@ class Model:
         if found is None:
             core = chunk.strip(EDGE)
             if core.isalpha() and not _RUN.search(core):
-                found = (core,)
+                # a sign right before or behind the letters may be one of them
+                at = chunk.find(core)
+                before, behind = chunk[max(0, at - 1):at], chunk[at + len(core):]
+                near = (before if before in LEET else "") + core + ("$" if behind == "$" else "")
+                found = (core, *(() if near == core else self.decode(near)))
             else:
                 found = ()
                 if any(c.isalpha() for c in core) and len(core) <= 64:
@@ -201,7 +205,7 @@ class Model:
             found.update(h for w in self.unspaced(m[0]) for h in self.hits(w))
         most, more = self.measures(found)
         z = self.base + self.most * most + self.more * more if found else self.base
-        return 1 / (1 + math.exp(-max(-700.0, min(700.0, z))))
+        return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
 
 
 _SYMBOL: dict[str, int] = {}
@@ -244,33 +248,35 @@ def _features(words: set[str], prefix: int) -> set[str]:
     return {w + "$" for w in words if len(w) >= 2} | {w[:k] for w in words for k in range(prefix, min(len(w), 12) + 1)}
 
 
-def _copies(texts: list[set[str]]) -> list[int]:
-    """Group of each word set; sets that share half of their eight least
-    hashed rare words are near copies."""
-    seen = Counter(w for t in texts for w in t)
-    most = max(3, len(texts) // 50)
-    mark = lambda w: hashlib.blake2b(w.encode(), digest_size=8).digest()
-    group, at = list(range(len(texts))), defaultdict(list)
-    for i, t in enumerate(texts):
-        least = sorted(mark(w) for w in t if seen[w] <= most or seen[w] * 20 < len(texts))[:8] or sorted(map(mark, t))[:8]
-        shared = Counter(group[j] for m in least for j in set(at[m]))
+def sketch(text: str, size: int = 8) -> tuple[int, ...]:
+    """The least hashes of a text's three-word shingles; near copies share
+    many of them."""
+    w = text.lower().split()
+    return tuple(sorted({xxhash.xxh3_64_intdigest(" ".join(w[k:k + 3])) for k in range(max(1, len(w) - 2))})[:size])
+
+
+def _copies(sketches: list[tuple[int, ...]]) -> list[int]:
+    """Group of each text; those that share three eighths of their sketch with
+    a group's member are its near copies."""
+    group, at = list(range(len(sketches))), defaultdict(set)
+    for i, least in enumerate(sketches):
+        shared = Counter(g for m in least for g in at[m])
         best = max(shared.items(), key=lambda x: (x[1], -x[0]), default=(i, 0))
-        if 2 * best[1] >= len(least) > 0:
+        if 8 * best[1] >= 3 * len(least) > 0:
             group[i] = best[0]
         for m in least:
-            if group[i] not in at[m]:
-                at[m].append(group[i])
+            at[m].add(group[i])
     return group
 
 
-def fit_lexicon(lm: np.ndarray, rows: list[tuple[set[str], int]], share: float, p: Params) -> Model:
-    """Lexicon from restored word sets with labels; ``share`` is the share of
-    toxic rows among all labelled ones, for the base odds."""
-    toxic, clean = [w for w, y in rows if y], [w for w, y in rows if not y]
+def fit_lexicon(lm: np.ndarray, rows: list[tuple[set[str], int, tuple[int, ...]]], share: float, p: Params) -> Model:
+    """Lexicon from restored word sets with labels and sketches; ``share`` is
+    the share of toxic rows among all labelled ones, for the base odds."""
+    toxic, clean = [w for w, y, _ in rows if y], [w for w, y, _ in rows if not y]
     if not toxic or not clean:
         known = math.inf if toxic else -math.inf  # one class, or none
         return Model(lm, {}, known)
-    group = _copies(toxic)
+    group = _copies([x for _, y, x in rows if y])
     copies, n1 = len(set(group)), Counter()
     by_group: dict[int, set[str]] = defaultdict(set)
     for g, words in zip(group, toxic):
@@ -307,8 +313,8 @@ def fit_lexicon(lm: np.ndarray, rows: list[tuple[set[str], int]], share: float,
         left = [g for g in left if best not in by_group[g]]
     weights = {f: math.log((n1[f] + 0.5) / (copies + 1)) - math.log((n0[f] + 0.5) / (len(clean) + 1)) for f in chosen}
     model = Model(lm, weights)
-    x = np.array([(1.0, *model.measures({h for w in words for h in model.hits(w)})) for words, _ in rows])
-    y = np.array([label for _, label in rows], float)
+    x = np.array([(1.0, *model.measures({h for w in words for h in model.hits(w)})) for words, _, _ in rows])
+    y = np.array([label for _, label, _ in rows], float)
     model.base, model.most, model.more = logistic(x, y, np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean())))
     return model
 
@@ -349,15 +355,17 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params(), id_col: str =
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            said = ["\n".join(sorted(seed.restored(t.as_py() or ""))) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(said, pa.string())], names=["y", "words"])
+            texts = [t.as_py() or "" for t in batch.column(1)]
+            said = ["\n".join(sorted(seed.restored(t))) for t in texts]
+            least = [" ".join(map(str, sketch(t))) for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(said, pa.string()), pa.array(least, pa.string())], names=["y", "words", "sketch"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
     most = p.toxic_rows + p.clean_rows
     # the broadcast side holds at most toxic_rows + clean_rows ids
-    said = (texts.join(F.broadcast(sample), "id").select("y", "text").mapInArrow(words, "y int, words string").distinct()
-            .orderBy(F.xxhash64("words", "y"), "words", "y").limit(most).collect())
-    rows = [(set(r["words"].split("\n")) - {""}, r["y"]) for r in said]
+    said = (texts.join(F.broadcast(sample), "id").select("y", "text").mapInArrow(words, "y int, words string, sketch string").distinct()
+            .orderBy(F.xxhash64("words", "y"), "words", "y", "sketch").limit(most).collect())
+    rows = [(set(r["words"].split("\n")) - {""}, r["y"], tuple(map(int, r["sketch"].split()))) for r in said]
     count = sum(totals.values())
     return fit_lexicon(lm, rows, totals.get(1, 0) / count if count else 0.0, p)
 
