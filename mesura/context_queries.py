@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from mesura import schemas as S
 from mesura.catalog import register
 from mesura.functions.blank import blank_sub, div, div0, pct1
+from mesura.operators.territory import territory_dim
 from mesura.plans.analytics import dense_rank_of, pareto, q, share_over, total_over
 from mesura.plans.context import FilterContext
 from mesura.plans.evaluate import evaluate, join_on_keys, rounded
-from mesura.plans.measures import EXPENSES
+from mesura.plans.measures import BASES, DWELL_COLS as GRAIN, EXPENSES
 from mesura.sources.survey import fact
 from mesura.sqlfact import lit, with_fact
 from mesura.sqlmeasures import DW, HH, MPI, P, SQL, bsub, cnt, sdiv, sdiv0
@@ -26,16 +27,6 @@ from mesura.sqlmeasures import DW, HH, MPI, P, SQL, bsub, cnt, sdiv, sdiv0
 TERRITORY = set(S.TERRITORY_COLUMNS)
 
 
-def _with_latest(spark: SparkSession, f: DataFrame) -> DataFrame:
-    """Mark rows of the latest year; the max is a window-free scalar join."""
-    mx = f.agg(F.max("anio").alias("__max_anio"))
-    return join_on_keys(f, mx, [], how="inner").withColumn("__latest", F.col("anio") == F.col("__max_anio"))
-
-
-def _latest_ctx() -> FilterContext:
-    return FilterContext({"anio": F.col("__latest")})
-
-
 # ---------------------------------------------------------------- M6
 def expense_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean over the household numbers within the dwelling of the per-number
@@ -118,19 +109,15 @@ def share_fixed_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wall and floor material shares of dwellings in the latest year over the
     subregion's dwellings of *all* years (ALLEXCEPT keeps only the subregion
     filter): the denominator is a second aggregate joined on Subregion."""
-    f = _with_latest(spark, fact(spark, sf_dir))
-    ctx = _latest_ctx()
-    base = evaluate(f, ["Subregion"], ["dwellings"], ctx.keep_only(["Subregion"])) \
-        .withColumnRenamed("dwellings", "subregion_dwellings")
-    parts = []
-    for kind, code_col, name in [("wall", "tip_mat_paredes", "pct_wall_material"),
-                                 ("floor", "tip_mat_pisos", "pct_floor_material")]:
-        num = evaluate(f, ["Subregion", code_col], ["dwellings"], ctx)
-        parts.append(join_on_keys(num, base, ["Subregion"])
-                     .select("Subregion", F.lit(kind).alias("material_kind"),
-                             q(code_col).alias("material_code"), "dwellings",
-                             div(q("dwellings"), q("subregion_dwellings")).alias("material_share")))
-    return rounded(parts[0].unionByName(parts[1]))
+    f = fact(spark, sf_dir)
+    base = evaluate(f, ["Subregion"], ["dwellings"]).withColumnRenamed("dwellings", "subregion_dwellings")
+    kinds = [("wall", "tip_mat_paredes"), ("floor", "tip_mat_pisos")]
+    # both materials of a row, stacked before one aggregate
+    both = F.stack(F.lit(2), *[x for kind, c in kinds for x in (F.lit(kind), q(c))]).alias("material_kind", "material_code")
+    now = FilterContext.latest(f).apply(f)
+    num = now.select("Subregion", *GRAIN, both).groupBy("Subregion", "material_kind", "material_code").agg(BASES["DW"].make().alias("dwellings"))
+    return rounded(join_on_keys(num, base, ["Subregion"]).select(
+        "Subregion", "material_kind", "material_code", "dwellings", div(q("dwellings"), q("subregion_dwellings")).alias("material_share")))
 
 
 register("share_fixed_base", with_fact(f"""
@@ -149,8 +136,8 @@ LEFT JOIN (SELECT Subregion, {cnt(DW)} AS subregion_dwellings FROM fact GROUP BY
 def share_of_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ALLSELECTED: total persons of the user's selection (latest year) on
     every row, and the group labels built from it."""
-    f = _with_latest(spark, fact(spark, sf_dir))
-    agg = evaluate(f, ["Subregion"], ["persons", "group_a", "group_b", "group_c", "group_d"], _latest_ctx())
+    f = fact(spark, sf_dir)
+    agg = evaluate(f, ["Subregion"], ["persons", "group_a", "group_b", "group_c", "group_d"], FilterContext.latest(f))
     out = agg.withColumn("persons_in_selection", total_over(q("persons"), []))
     labels = {}
     for g in "abcd":
@@ -422,14 +409,15 @@ FROM (SELECT *, greatest({", ".join(m for _, m in S.SERVICE_PROBLEMS)}) AS mx FR
 
 
 def subregion_options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All subregion names plus the "all" row (UNION keeps duplicates)."""
-    f = fact(spark, sf_dir)
-    names = f.select("Subregion").distinct()
+    """All subregion names of the territory table plus the "all" row (UNION
+    keeps duplicates); a subregion without persons is offered too."""
+    names = territory_dim(spark, sf_dir).where(q("Subregion").isNotNull()).select("Subregion").distinct()
     return names.unionByName(spark.range(1).select(F.lit(S.TXT_SUBREGION_ALL).alias("Subregion")))
 
 
-register("subregion_options", with_fact(
-    f"SELECT DISTINCT Subregion FROM fact UNION ALL SELECT {lit(S.TXT_SUBREGION_ALL)} AS Subregion"))(subregion_options)
+register("subregion_options",
+         f"SELECT DISTINCT r.r_name AS Subregion FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey "
+         f"UNION ALL SELECT {lit(S.TXT_SUBREGION_ALL)} AS Subregion")(subregion_options)
 
 
 def labels_and_titles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +13,11 @@ from mesura.catalog import register
 from mesura.functions.blank import div, div0
 from mesura.functions.labels import lenient_long, norm_code, null_text
 from mesura.operators import clean, export, projections, quality, territory
+from mesura.plans import star
 from mesura.plans.evaluate import evaluate, rounded
+from mesura.plans.title import title
 from mesura.session import ensure_checkpoint_dir, join_path
+from mesura.sources.literals import age_band_dim, state_dim
 from mesura.sources.survey import SURVEY_COLUMNS, _fingerprint, fact
 from mesura.sources.tables import read_table
 from mesura.sqlfact import age_band_sql, lit, with_fact
@@ -60,9 +66,9 @@ WITH s AS (SELECT l_orderkey, l_linenumber,
     WHEN 2 THEN lpad(CAST(l_suppkey AS VARCHAR), 5, '0') END AS raw_code,
   CASE WHEN l_linenumber % 3 = 0 THEN 'nan' ELSE l_returnflag END AS raw_text
   FROM lineitem),
-t AS (SELECT *, TRY_CAST(raw_value AS DOUBLE) AS d, regexp_replace(raw_code, '\\.0$', '') AS c FROM s)
+t AS (SELECT *, TRY_CAST(raw_value AS DECIMAL(38,10)) AS d, regexp_replace(raw_code, '\\.0$', '') AS c FROM s)
 SELECT l_orderkey, l_linenumber, raw_value,
-  CASE WHEN NOT isnan(d) AND abs(d) < 9.2e18 AND d % 1 = 0 THEN TRY_CAST(d AS BIGINT) END AS value_long,
+  CASE WHEN d % 1 = 0 THEN TRY_CAST(d AS BIGINT) END AS value_long,
   CASE WHEN raw_text = 'nan' THEN NULL ELSE raw_text END AS text_clean,
   raw_code,
   CASE WHEN (CASE WHEN length(c) < 5 THEN lpad(c, 5, '0') ELSE c END) IN ('00nan', '000na', 'nan') THEN NULL
@@ -81,14 +87,11 @@ LABELS = [("tip_vivienda", "Tipo_Vivienda_txt"), ("tip_mat_paredes", "Material d
 
 
 def label_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every (code, label) pair of the 13 label columns with its row count."""
-    f = fact(spark, sf_dir)
-    parts = [f.groupBy(q(c).alias("code"), q(lab).alias("label")).agg(F.count(F.lit(1)).alias("records"))
-             .withColumn("column_name", F.lit(lab)) for c, lab in LABELS]
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    return out
+    """Every (code, label) pair of the 13 label columns with its row count:
+    one scan, the pairs stacked before one aggregate."""
+    triples = [x for c, lab in LABELS for x in (F.lit(lab), q(c).cast("long"), q(lab))]
+    rows = fact(spark, sf_dir).select(F.stack(F.lit(len(LABELS)), *triples).alias("column_name", "code", "label"))
+    return rows.groupBy("column_name", "code", "label").agg(F.count(F.lit(1)).alias("records"))
 
 
 register("label_columns", with_fact(" UNION ALL ".join(
@@ -171,7 +174,7 @@ def latest_year_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _extract_columns() -> list[str]:
     names = [n for n, _, _ in SURVEY_COLUMNS if n not in export.EXCLUDE]
-    first = [c for c in export.PRIORITY if c != "NOM_MUNICIPIO"]
+    first = [c for c in S.EXTRACT_PRIORITY if c != "NOM_MUNICIPIO"]
     return first + [n for n in names if n not in first]
 
 
@@ -183,14 +186,21 @@ register("latest_year_extract", with_fact(
 
 
 # ---------------------------------------------------------------- projections
+#: What the derived projection tables stand for: years of their sheets, and
+#: years and department that the coverage queries ask for.
+SHEET_YEARS = list(range(1993, 2018))
+COVERAGE_YEARS = list(range(1996, 2002))
+DEPARTMENT = "05"
+
+
 def wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Household projections, sheet shape -> (cod_mpio, anio, Cod_clase, value)."""
-    return projections.wide_to_long(projections.projection_wide(spark, sf_dir, "households"),
-                                    "Hogares_Proyectados")
+    return projections.wide_to_long(projections.projection_wide(spark, sf_dir, "households", SHEET_YEARS),
+                                    "Hogares_Proyectados", DEPARTMENT, COVERAGE_YEARS)
 
 
 def _long_sql(value: str, measure: str) -> str:
-    years = projections.COVERAGE_YEARS
+    years = COVERAGE_YEARS
     return f"""
 WITH j AS (SELECT c.c_nationkey AS nk, n.n_regionkey AS rk, year(o.o_orderdate) AS yr,
                   CASE WHEN o.o_orderkey % 2 = 0 THEN 1 ELSE 2 END AS cls, o.o_custkey AS ck
@@ -208,15 +218,15 @@ register("wide_to_long", _long_sql("Hogares_Proyectados", "count(*)"))(wide_to_l
 
 
 def wide_to_long_dwellings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return projections.wide_to_long(projections.projection_wide(spark, sf_dir, "dwellings"),
-                                    "Viviendas_Proyectadas")
+    return projections.wide_to_long(projections.projection_wide(spark, sf_dir, "dwellings", SHEET_YEARS),
+                                    "Viviendas_Proyectadas", DEPARTMENT, COVERAGE_YEARS)
 
 
 register("wide_to_long_dwellings", _long_sql("Viviendas_Proyectadas", "count(DISTINCT ck)"))(wide_to_long_dwellings)
 
 
 def population_by_band(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return projections.population_by_band(projections.population_raw(spark, sf_dir))
+    return projections.population_by_band(projections.population_raw(spark, sf_dir), COVERAGE_YEARS)
 
 
 _POP_SQL = f"""
@@ -226,7 +236,7 @@ SELECT lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS cod_mpio, CAST(1995 + c_cus
   CASE WHEN c_custkey % 53 = 0 OR c_custkey % 59 = 0 THEN {lit(S.UNKNOWN)}
        ELSE {age_band_sql('(c_custkey % 97)')} END AS Rango_Edad,
   CAST(sum(50 + c_custkey % 7) AS BIGINT) AS Poblacion_Proyectada
-FROM customer WHERE 1995 + c_custkey % 7 BETWEEN {projections.COVERAGE_YEARS[0]} AND {projections.COVERAGE_YEARS[-1]}
+FROM customer WHERE 1995 + c_custkey % 7 BETWEEN {COVERAGE_YEARS[0]} AND {COVERAGE_YEARS[-1]}
 GROUP BY ALL
 """
 register("population_by_band", _POP_SQL)(population_by_band)
@@ -239,7 +249,7 @@ def _coverage(survey_measure: str, proj: DataFrame, proj_col: str, out: str):
         s = evaluate(fact(spark, sf_dir), keys, [survey_measure])
         pr = proj(spark, sf_dir).groupBy(*keys).agg(F.sum(proj_col).alias("projected"))
         j = s.join(pr, keys, "full_outer")
-        res = j.select(*keys, survey_measure, "projected",
+        res = j.select(*keys, survey_measure, "projected", q("projected").isNotNull().alias("has_projection"),
                        div0(q(survey_measure), q("projected")).alias(out),
                        div(q(survey_measure), q("projected")).alias(out + "_blank"))
         return rounded(res)
@@ -261,7 +271,7 @@ def _dw_total(spark, sf_dir):
 def _coverage_sql(survey_measure: str, proj_sql: str, proj_col: str, out: str, proj_where: str = "") -> str:
     return with_fact(f"""
 SELECT coalesce(s.cod_mpio, p.cod_mpio) AS cod_mpio, coalesce(s.anio, p.anio) AS anio, s.{survey_measure},
-  p.projected, round({sdiv0(f's.{survey_measure}', 'p.projected')}, 6) AS {out},
+  p.projected, p.projected IS NOT NULL AS has_projection, round({sdiv0(f's.{survey_measure}', 'p.projected')}, 6) AS {out},
   round({sdiv(f's.{survey_measure}', 'p.projected')}, 6) AS {out}_blank
 FROM (SELECT cod_mpio, anio, {SQL[survey_measure]} AS {survey_measure} FROM fact GROUP BY 1, 2) s
 FULL OUTER JOIN (SELECT cod_mpio, anio, CAST(sum({proj_col}) AS BIGINT) AS projected FROM proj {proj_where} GROUP BY 1, 2) p
@@ -279,6 +289,69 @@ register("coverage_dwellings", _coverage_sql("dwellings", _long_sql("Viviendas_P
     _coverage("dwellings", _dw_total, "Viviendas_Proyectadas", "dwelling_coverage"))
 
 
+def coverage_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage with the year carried over to the projections.
+
+    ``coverage_latest``: persons and population both of the latest year of the
+    year table. ``coverage_rate``: all persons in context over the population
+    of the latest year that the municipality has persons of.
+    """
+    f, pop = fact(spark, sf_dir), _pop(spark, sf_dir)
+    latest = years_dim(f).agg(F.max("anio")).scalar()
+    per = f.groupBy("cod_mpio").agg(F.nullif(F.count(F.lit(1)), F.lit(0)).alias("persons"), F.max("anio").alias("current_year"),
+                                    F.nullif(F.count_if(q("anio") == latest), F.lit(0)).alias("persons_latest"))
+    by_year = pop.groupBy("cod_mpio", "anio").agg(F.sum("Poblacion_Proyectada").alias("population"))
+    at_latest = by_year.where(q("anio") == latest).select("cod_mpio", q("population").alias("population_latest"))
+    own_year = by_year.select(q("cod_mpio").alias("__m"), q("anio").alias("__y"), q("population").alias("population_current"))
+    j = (per.join(at_latest, "cod_mpio", "full_outer")
+            .join(own_year, (q("cod_mpio") == q("__m")) & (q("current_year") == q("__y")), "left"))
+    return rounded(j.select("cod_mpio", "current_year", "persons", "persons_latest", "population_latest", "population_current",
+                            div(q("persons_latest"), q("population_latest")).alias("coverage_latest"),
+                            div(q("persons"), q("population_current")).alias("coverage_rate")))
+
+
+def years_dim(f: DataFrame) -> DataFrame:
+    """A4: the year table, the distinct years of the fact."""
+    return f.select("anio").distinct()
+
+
+register("coverage_latest", with_fact(f"""
+SELECT coalesce(s.cod_mpio, p.cod_mpio) AS cod_mpio, s.current_year, s.persons, s.persons_latest, p.population_latest, c.population AS population_current,
+  round({sdiv('s.persons_latest', 'p.population_latest')}, 6) AS coverage_latest, round({sdiv('s.persons', 'c.population')}, 6) AS coverage_rate
+FROM (SELECT cod_mpio, max(anio) AS current_year, {P} AS persons, {cnt('anio = (SELECT max(anio) FROM fact)')} AS persons_latest FROM fact GROUP BY 1) s
+FULL OUTER JOIN (SELECT cod_mpio, population AS population_latest FROM by_year WHERE anio = (SELECT max(anio) FROM fact)) p ON s.cod_mpio = p.cod_mpio
+LEFT JOIN by_year c ON c.cod_mpio = s.cod_mpio AND c.anio = s.current_year
+""", f"proj AS ({_POP_SQL})", "by_year AS (SELECT cod_mpio, anio, CAST(sum(Poblacion_Proyectada) AS BIGINT) AS population FROM proj GROUP BY 1, 2)"))(coverage_latest)
+
+register("years_dim", with_fact("SELECT DISTINCT anio FROM fact"))(lambda spark, sf_dir: years_dim(fact(spark, sf_dir)))
+
+
+def filter_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dimension filters that reach fact and projections through the model's
+    relationships: one subregion, the age bands of adults, the valid states.
+    The state reaches the fact alone, the age band the population alone."""
+    dims = {"territory": territory.territory_dim(spark, sf_dir), "age_band": age_band_dim(spark), "state": state_dim(spark)}
+    keep = {"territory": q("Subregion") == "EUROPE", "age_band": q("Orden") >= 5, "state": q("Categoria_Macro") == "Válido"}
+    f = star.filtered(fact(spark, sf_dir), "fact", dims, keep)
+    pop = star.filtered(_pop(spark, sf_dir), "population", dims, keep)
+    persons = f.groupBy("cod_mpio").agg(F.count(F.lit(1)).alias("persons"))
+    people = pop.groupBy("cod_mpio").agg(F.sum("Poblacion_Proyectada").alias("population"))
+    both = persons.join(people, "cod_mpio", "full_outer")
+    return star.with_dimension(both, "fact", "territory", dims["territory"], ["Municipio"])
+
+
+register("filter_propagation", with_fact(f"""
+SELECT coalesce(a.cod_mpio, b.cod_mpio) AS cod_mpio, a.persons, b.population, t.n_name AS Municipio
+FROM (SELECT f.cod_mpio, count(*) AS persons FROM fact f
+      JOIN nation n ON f.cod_mpio = lpad(CAST(n.n_nationkey AS VARCHAR), 5, '0') JOIN region r ON n.n_regionkey = r.r_regionkey
+      WHERE r.r_name = 'EUROPE' AND TRY_CAST(f.estado AS INTEGER) IN ({", ".join(str(c) for c, _, m in S.STATE_ROWS if m == "Válido")}) GROUP BY 1) a
+FULL OUTER JOIN (SELECT p.cod_mpio, CAST(sum(p.Poblacion_Proyectada) AS BIGINT) AS population FROM proj p
+      JOIN nation n ON p.cod_mpio = lpad(CAST(n.n_nationkey AS VARCHAR), 5, '0') JOIN region r ON n.n_regionkey = r.r_regionkey
+      WHERE r.r_name = 'EUROPE' AND p.Rango_Edad IN ({", ".join(lit(t) for _, t in S.AGE_BANDS[4:])}) GROUP BY 1) b ON a.cod_mpio = b.cod_mpio
+LEFT JOIN nation t ON coalesce(a.cod_mpio, b.cod_mpio) = lpad(CAST(t.n_nationkey AS VARCHAR), 5, '0')
+""", f"proj AS ({_POP_SQL})"))(filter_propagation)
+
+
 # ---------------------------------------------------------------- A2, Q1, Q2
 def state_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.crosstab(fact(spark, sf_dir), "anio", "estado")
@@ -288,14 +361,16 @@ register("state_by_year", with_fact("SELECT anio, estado, count(*) AS records FR
 
 
 def mark_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide form: one column per mark code of the mark dimension."""
+    """Wide form: one column per mark code of the mark dimension, and one for
+    any other mark and none."""
     codes = [str(c) for c, _ in S.MARK_ROWS]
     return quality.crosstab_wide(fact(spark, sf_dir), "anio", "marca", codes)
 
 
 register("mark_by_year", with_fact(
     "SELECT anio, " + ", ".join(f"nullif(count(*) FILTER (WHERE marca = '{c}'), 0) AS \"{c}\""
-                                for c, _ in S.MARK_ROWS) + " FROM fact GROUP BY anio"))(mark_by_year)
+                                for c, _ in S.MARK_ROWS) +
+    ", nullif(count(*) FILTER (WHERE coalesce(marca, '') NOT IN (" + ", ".join(f"'{c}'" for c, _ in S.MARK_ROWS) + ")), 0) AS other FROM fact GROUP BY anio"))(mark_by_year)
 
 
 def quality_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,13 +387,34 @@ FROM (SELECT f.anio, s.cat FROM fact f LEFT JOIN (VALUES {_STATE_VALUES}) s(code
 """))(quality_categories)
 
 
+#: Columns that the survey view is built from, as its declaration spells them.
+SOURCE_COLUMNS = {
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"],
+    "customer": ["c_custkey", "c_nationkey"],
+}
+
+
 def schema_conformance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Expected model columns vs the columns of the reinforced fact file."""
-    actual = clean.reinforce(fact(spark, sf_dir)).columns
-    return quality.schema_conformance(spark, quality.expected_fact_columns(), actual)
+    """Declared columns of the source tables against the schemas read from
+    them (Q1), with each table's row count (S3)."""
+    parts = []
+    for table, expected in SOURCE_COLUMNS.items():
+        path = f"{sf_dir.rstrip('/')}/{table}.parquet"
+        rows = F.lit(spark.read.parquet(path).count()).cast("long")
+        parts.append(quality.schema_conformance(spark, expected, path).select(F.lit(table).alias("table_name"), "expected", "actual", "status", rows.alias("row_count")))
+    return reduce(DataFrame.unionByName, parts)
+
 
+def _conformance_sql(table: str, expected: list[str]) -> str:
+    names = ", ".join(f"({lit(c)})" for c in expected)
+    return f"""SELECT {lit(table)} AS table_name, e.name AS expected, a.column_name AS actual,
+  CASE WHEN e.name IS NULL THEN 'extra' WHEN a.column_name IS NULL THEN 'missing' WHEN e.name = a.column_name THEN 'ok' ELSE 'case' END AS status,
+  (SELECT count(*) FROM {table}) AS row_count
+FROM (VALUES {names}) e(name) FULL OUTER JOIN (SELECT column_name FROM (DESCRIBE {table})) a ON lower(e.name) = lower(a.column_name)"""
 
-register("schema_conformance")(schema_conformance)
+
+register("schema_conformance", " UNION ALL ".join(_conformance_sql(t, c) for t, c in SOURCE_COLUMNS.items()))(schema_conformance)
 
 
 # ---------------------------------------------------------------- J4
@@ -349,15 +445,48 @@ SELECT cod_mpio, nom_mpio, coalesce(matched_file, '') AS matched_file FROM dk LE
 
 # ---------------------------------------------------------------- S8-S10
 def export_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Writes the latest-year extract, one CSV directory per municipality,
-    to the shared folder, then builds the download catalogue from the
-    written paths."""
-    out = join_path(ensure_checkpoint_dir(spark), "mesura_export", _fingerprint(sf_dir), "latest_year")
-    export.write_extract(latest_year_extract(spark, sf_dir), out)
-    return export.catalogue(spark, out)
+    """Writes the latest-year extract as files of one municipality each to the
+    shared folder, and returns the download catalogue of those files."""
+    out = join_path(ensure_checkpoint_dir(spark), "mesura_export", _fingerprint(spark, sf_dir), uuid.uuid4().hex)
+    return export.export_municipalities(spark, fact(spark, sf_dir), territory.territory_dim(spark, sf_dir), out)
+
+
+_FILE_PART = "upper(replace(replace(strip_accents(n.n_name), ' ', '_'), '/', '_'))"
+register("export_catalogue", with_fact(f"""
+SELECT f.cod_mpio, replace({_FILE_PART}, '_', ' ') AS nom_mpio,
+  'mpio_' || f.cod_mpio || '_' || {_FILE_PART} || '_ultimo_anio.csv?download=1' AS Url_Descarga,
+  'informe_' || f.cod_mpio || '_' || {_FILE_PART} || '.pdf?download=1' AS Url_Informe,
+  '' AS Url_Descarga_Variables, f.cod_mpio || '.png?raw=true' AS Bandera_escudo
+FROM (SELECT DISTINCT cod_mpio FROM fact WHERE anio = (SELECT max(anio) FROM fact)) f
+JOIN nation n ON f.cod_mpio = lpad(CAST(n.n_nationkey AS VARCHAR), 5, '0')
+"""))(export_catalogue)
+
+
+# ---------------------------------------------------------------- title (173)
+TITLE_CONTEXTS = {
+    "all": {},
+    "one year and subregion": {"anio": [1995], "Subregion": ["ASIA"]},
+    "several": {"Subregion": ["ASIA", "EUROPE"], "Zona": ["Rural"], "grupo_sisben": ["A", "B"],
+                "Clasificacion": ["A1", "A2", "A3", "B1", "B2", "B3"], "Sexo_Jefe_Label": ["Mujer jefe"], "Edad": list(range(18, 65))},
+}
+
+
+def dashboard_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The title under three filter contexts."""
+    f = fact(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [title(f, values).select(F.lit(name).alias("context"), "title") for name, values in TITLE_CONTEXTS.items()])
 
 
-register("export_catalogue")(export_catalogue)
+register("dashboard_title", with_fact(f"""
+SELECT 'all' AS context, {lit(S.TXT_OVERVIEW)} AS title
+UNION ALL SELECT 'one year and subregion', {lit(S.TXT_SELECTION)} || 'Año ' || string_agg(DISTINCT anio, ', ') || ' • En ' || max(Subregion)
+  FROM fact WHERE anio = 1995 AND Subregion = 'ASIA'
+UNION ALL SELECT 'several', {lit(S.TXT_SELECTION)} || 'Zona ' || max(Zona) || ' • Grupo ' ||
+    array_to_string(list_sort(list(DISTINCT grupo_sisben)), ', ') || ', ' || array_to_string(list_sort(list(DISTINCT Clasificacion)), ', ') || ' • ' ||
+    max(Sexo_Jefe_Label) || ' Hogar • Edades ' || min(Edad) || ' - ' || max(Edad)
+  FROM fact WHERE Subregion IN ('ASIA', 'EUROPE') AND Zona = 'Rural' AND grupo_sisben IN ('A', 'B')
+    AND Clasificacion IN ('A1', 'A2', 'A3', 'B1', 'B2', 'B3') AND Sexo_Jefe_Label = 'Mujer jefe' AND Edad BETWEEN 18 AND 64
+"""))(dashboard_title)
 
 
 # ---------------------------------------------------------------- totals, pyramid
@@ -383,9 +512,8 @@ FROM fact GROUP BY ROLLUP (Subregion, Municipio)
 
 def sex_age_pyramid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signed counts by age band, with the band order of the age dimension."""
-    from mesura.sources.literals import age_band_dim
     agg = evaluate(fact(spark, sf_dir), ["Rango_Edad"], ["men_negative", "women", "men_pyramid"])
-    dim = F.broadcast(age_band_dim(spark))
+    dim = age_band_dim(spark)
     return agg.join(dim, "Rango_Edad", "left").select("Rango_Edad", q("Orden").cast("long").alias("Orden"),
                                                       "men_negative", "women", "men_pyramid")
 

@@ -41,7 +41,7 @@ def pct1(x: Column) -> Column:
 
 def selected_value(c: Column) -> Column:
     """SELECTEDVALUE: the one distinct value, else null (aggregate)."""
-    return F.when(F.count_distinct(c) == 1, F.max(c))
+    return F.when(F.min(c) == F.max(c), F.max(c))
 
 
 def distinct_count_with_blank(c: Column) -> Column:

@@ -19,12 +19,12 @@ def label(c: Column, mapping: dict, default: str | None = UNKNOWN) -> Column:
 def lenient_long(c: Column) -> Column:
     """Numeric parse to a nullable long: unparsable -> null, "3.0" -> 3.
 
-    A non-integral value (e.g. "3.7") cannot be a count or a code; it becomes
-    null here, where the surveyed pipeline stops with an error.
+    Read as a decimal, so integers keep all their digits. A non-integral value
+    (e.g. "3.7") cannot be a count or a code; it becomes null here, where the
+    surveyed pipeline stops with an error (``clean.coerce_types`` counts them).
     """
-    d = c.cast("string").try_cast("double")
-    integral = ~F.isnan(d) & (F.abs(d) < 9.2e18) & ((d % 1) == 0)
-    return F.when(integral, d.try_cast("long"))
+    d = F.trim(c.cast("string")).try_cast("decimal(38,10)")
+    return F.when(d % 1 == 0, d.try_cast("long"))
 
 
 def null_text(c: Column) -> Column:

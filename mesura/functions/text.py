@@ -5,18 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accented letter -> base letter (NFKD decomposition with the marks dropped,
-# for the Latin-1 range that Spanish place names use).
-_ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüýÿñçÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÝÑÇ"
-_PLAIN = "aaaaaaeeeeiiiiooooouuuuyyncAAAAAAEEEEIIIIOOOOOUUUUYNC"
-
-
-def strip_accents(c: Column) -> Column:
-    return F.translate(c, _ACCENTED, _PLAIN)
-
 
 def normalise_name(c: Column) -> Column:
-    """Join key for municipality names: accents stripped, lower case, trimmed,
-    blanks removed; a null name becomes the empty string."""
-    return F.coalesce(F.regexp_replace(F.trim(F.lower(strip_accents(c.cast("string")))), " ", ""),
-                      F.lit(""))
+    """Join key for municipality names: trimmed, blanks removed, compared by a
+    collation that ignores case and accents of every script; a null name is
+    the empty string."""
+    key = F.coalesce(F.regexp_replace(F.trim(c.cast("string")), " ", ""), F.lit(""))
+    return F.collate(key, "UNICODE_CI_AI")

@@ -1,8 +1,12 @@
-"""Exports: enriched Parquet sink (S7), latest-year extract partitioned by
-municipality (S8/S9) and the download catalogue built from it (S10)."""
+"""Exports: latest-year extract, one CSV file (or several of bounded size) for
+each municipality (S8/S9), and the download catalogue of what was written
+(S10, D31)."""
 
 from __future__ import annotations
 
+import re
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +14,6 @@ from mesura import schemas as S
 from mesura.operators.clean import latest_year, select_priority
 from mesura.operators.territory import municipality_label
 
-PRIORITY = ["cod_mpio", "NOM_MUNICIPIO", "Cod_clase", "NOM_BARRIO", "Clasificacion", "grupo_sisben", "anio"]
 EXCLUDE = set(S.DERIVED_COLUMNS) | {"Source.Name", "Fec_digitacion", "Municipio", "Subregion", "household_key"}
 
 
@@ -18,54 +21,81 @@ def q(name: str):
     return F.col(f"`{name}`")
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Snappy Parquet, overwrite; the commit protocol replaces the table
-    atomically per job."""
-    w = df.write.mode("overwrite").option("compression", "snappy")
-    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
-
-
 def latest_year_extract(fact: DataFrame, names: DataFrame) -> DataFrame:
     """Latest year only, ``code - name`` label second,
     priority columns first, derived and technical columns left out."""
     df = municipality_label(latest_year(fact), names)
-    return select_priority(df, PRIORITY, exclude=EXCLUDE)
-
-
-def write_extract(df: DataFrame, out_dir: str) -> None:
-    """One directory per municipality and, within it, one CSV file
-    with one header: ``repartition`` by the partition key puts each
-    municipality's rows in one task."""
-    (df.repartition(q("cod_mpio")).write.mode("overwrite").option("header", True)
-       .partitionBy("cod_mpio").csv(out_dir))
+    return select_priority(df, S.EXTRACT_PRIORITY, exclude=EXCLUDE)
+
+
+def safe_name(name: str) -> str:
+    """A name as file names write it: no accents, upper case, no blanks."""
+    plain = "".join(c for c in unicodedata.normalize("NFKD", name) if not unicodedata.combining(c))
+    return re.sub(r"[ /]", "_", plain.upper())
+
+
+def write_extract(spark: SparkSession, df: DataFrame, names: dict[str, str], out_dir: str, max_records: int = 1_000_000) -> None:
+    """CSV files with one header, of one municipality each.
+
+    Rows are rebalanced by municipality: AQE splits a large one over tasks and
+    ``max_records`` bounds a file. The files then get the names that the
+    catalogue links to, ``mpio_<code>_<NAME>_ultimo_anio.csv``, by renaming
+    (a step of the file system, no data is read); further files of one
+    municipality end in ``_parte<k>.csv``. A code without a name is COD<code>.
+    """
+    rows = spark.sql("SELECT /*+ REBALANCE(cod_mpio) */ * FROM {rows}", rows=df)
+    (rows.withColumn("codigo", q("cod_mpio")).write.mode("overwrite").option("header", True).option("maxRecordsPerFile", max_records)
+         .partitionBy("codigo").csv(out_dir))
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(out_dir)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in fs.listStatus(root):  # one entry a municipality
+        code = folder.getPath().getName().partition("=")[2]
+        if not folder.isDirectory() or not re.fullmatch(r"\w+", code) or code.startswith("__"):
+            continue
+        stem = f"mpio_{code}_{safe_name(names.get(code) or 'COD' + code)}_ultimo_anio"
+        parts = sorted(x.getPath().getName() for x in fs.listStatus(folder.getPath()) if x.getPath().getName().startswith("part-"))
+        for k, part in enumerate(parts):
+            fs.rename(jvm.org.apache.hadoop.fs.Path(folder.getPath(), part),
+                      jvm.org.apache.hadoop.fs.Path(root, f"{stem}.csv" if k == 0 else f"{stem}_parte{k + 1}.csv"))
+
+
+def written_files(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Names of the exported files, from the file system's list."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(out_dir)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [(x.getPath().getName(),) for x in fs.listStatus(root) if x.isFile() and x.getPath().getName().endswith(".csv")]
+    return spark.createDataFrame(found, "file_name string")
+
+
+def parse_catalogue_names(files: DataFrame, col: str = "file_name") -> DataFrame:
+    """S10 name form ``mpio_<code>_<NAME>_ultimo_anio.csv``: code and name
+    (underscores to blanks); other forms are dropped."""
+    name = r"^mpio_([^_]+)_(.+)_ultimo_anio\.csv$"
+    return (files.where(q(col).rlike(name))
+                 .select(F.regexp_extract(q(col), name, 1).alias("cod_mpio"),
+                         F.regexp_replace(F.regexp_extract(q(col), name, 2), "_", " ").alias("nom_mpio"),
+                         F.regexp_extract(q(col), name, 2).alias("file_part"), q(col)))
 
 
-def catalogue(spark: SparkSession, out_dir: str, base_url: str = "", report_url: str = "",
+def catalogue(files: DataFrame, base_url: str = "", report_url: str = "",
               variables_url: str = "", flag_url: str = "") -> DataFrame:
-    """One row per exported municipality, read back from the written
-    files' paths (``_metadata.file_path``), sorted by code. URL prefixes are
-    parameters."""
-    files = (spark.read.option("header", True).csv(out_dir)
-             .select(F.col("_metadata.file_path").alias("path")).distinct())
-    code = F.regexp_extract(q("path"), r"cod_mpio=([^/]+)/", 1)
-    cat = files.select(code.alias("cod_mpio")).where(q("cod_mpio") != "").distinct()
-    file_name = F.concat(F.lit("mpio_"), q("cod_mpio"), F.lit("_ultimo_anio.csv"))
-    return cat.select(
-        "cod_mpio",
-        F.concat(F.lit(base_url), file_name, F.lit("?download=1")).alias("Url_Descarga"),
-        F.concat(F.lit(report_url), F.lit("informe_"), q("cod_mpio"), F.lit(".pdf?download=1")).alias("Url_Informe"),
+    """One row for each exported municipality, sorted by code. URL
+    prefixes are parameters."""
+    code, part = q("cod_mpio"), q("file_part")
+    return parse_catalogue_names(files).select(
+        "cod_mpio", "nom_mpio",
+        F.concat(F.lit(base_url), q("file_name"), F.lit("?download=1")).alias("Url_Descarga"),
+        F.concat(F.lit(report_url), F.lit("informe_"), code, F.lit("_"), part, F.lit(".pdf?download=1")).alias("Url_Informe"),
         F.lit(variables_url).alias("Url_Descarga_Variables"),
-        F.concat(F.lit(flag_url), q("cod_mpio"), F.lit(".png?raw=true")).alias("Bandera_escudo"),
+        F.concat(F.lit(flag_url), code, F.lit(".png?raw=true")).alias("Bandera_escudo"),
     ).orderBy("cod_mpio")
 
 
-def parse_catalogue_names(paths: DataFrame, col: str = "file_name") -> DataFrame:
-    """S10 name form ``mpio_<code>_<NAME>_ultimo_anio.csv``: code and name
-    (underscores to blanks); other forms are dropped."""
-    stem = F.regexp_replace(F.regexp_replace(q(col), "^mpio_", ""), "_ultimo_anio\\.csv$", "")
-    parts = F.split(stem, "_", 2)
-    return (paths.withColumn("__p", parts)
-                 .where(F.size("__p") == 2)
-                 .select(q("__p")[0].alias("cod_mpio"),
-                         F.regexp_replace(q("__p")[1], "_", " ").alias("nom_mpio"), q(col))
-            )
+def export_municipalities(spark: SparkSession, fact: DataFrame, names: DataFrame, out_dir: str) -> DataFrame:
+    """Extract, files and catalogue in one go. ``names`` is the territory
+    dimension: one row a municipality, read to the driver for the renaming."""
+    known = {r[0]: r[1] for r in names.select("cod_mpio", "Municipio").collect()}
+    write_extract(spark, latest_year_extract(fact, names), known, out_dir)
+    return catalogue(written_files(spark, out_dir))

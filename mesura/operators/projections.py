@@ -16,17 +16,9 @@ from pyspark.sql import functions as F
 
 from mesura import schemas as S
 from mesura.functions.labels import age_band, norm_code
-from mesura.operators.clean import department_filter, drop_null, filter_years, map_headers_by_substring, unpivot_years
+from mesura.operators.clean import department_filter, drop_null, filter_years, repair_headers, unpivot_years
 from mesura.sources.tables import read_table
 
-# Years covered by the survey cut used for coverage (a parameter; six
-# consecutive yearly cuts as in the surveyed setup).
-COVERAGE_YEARS = list(range(1996, 2002))
-# The 25 year columns of the projection sheets.
-SHEET_YEARS = list(range(1993, 2018))
-TOWN_LABEL, RURAL_LABEL, TOTAL_LABEL = "Cabecera", "Centros Poblados y Rural Disperso", "Total"
-
-
 def q(name: str):
     return F.col(f"`{name}`")
 
@@ -47,10 +39,10 @@ def population_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def population_by_band(raw: DataFrame, years: Sequence[int] = COVERAGE_YEARS) -> DataFrame:
+def population_by_band(raw: DataFrame, years: Sequence[int]) -> DataFrame:
     """Projected population by municipality, year, area,
     sex and age band. Rows with a null key are dropped, sums of nothing are 0."""
-    df = filter_years(map_headers_by_substring(raw), years, "AÑO")
+    df = filter_years(repair_headers(raw, S.POPULATION_HEADERS), years, "AÑO")
     age = q("Edad_Num").cast("string").try_cast("double")
     band = (F.when(q("Edad_Num").isNull(), F.lit(S.UNKNOWN))
              .when(age.isNull(), F.lit(S.UNKNOWN))
@@ -68,25 +60,25 @@ def population_by_band(raw: DataFrame, years: Sequence[int] = COVERAGE_YEARS) ->
             .agg(F.coalesce(F.sum("Pob"), F.lit(0)).cast("long").alias("Poblacion_Proyectada")))
 
 
-def projection_wide(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+def projection_wide(spark: SparkSession, sf_dir: str, kind: str, years: Sequence[int]) -> DataFrame:
     """Sheet shape: cod_dpto, nom_dpto, cod_mpio, nom_mpio, Area and one
     column per year. Households count orders, dwellings count distinct
-    customers, per nation, area and year; a Total row per nation."""
+    customers, per nation, area and year of ``years``; a Total row per nation."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = read_table(spark, sf_dir, "nation")
     j = (o.join(c, q("o_custkey") == q("c_custkey"))
           .join(n, q("c_nationkey") == q("n_nationkey"))
           .withColumn("yr", F.year("o_orderdate").cast("string"))
-          .withColumn("Area", F.when(q("o_orderkey") % 2 == 0, TOWN_LABEL).otherwise(RURAL_LABEL)))
+          .withColumn("Area", F.when(q("o_orderkey") % 2 == 0, S.TOWN_LABEL).otherwise(S.RURAL_LABEL)))
     measure = F.count(F.lit(1)) if kind == "households" else F.count_distinct(q("o_custkey"))
     ids = [(F.lit(5) + (q("n_regionkey") % 2) * 3).cast("string").alias("cod_dpto"),
            F.concat(F.lit("DPTO_"), q("n_regionkey").cast("string")).alias("nom_dpto"),
            F.concat(q("c_nationkey").cast("string"), F.lit(".0")).alias("cod_mpio"),
            q("n_name").alias("nom_mpio")]
-    years = [str(y) for y in SHEET_YEARS]
+    years = [str(y) for y in years]
     parts = j.groupBy(*ids, "Area").pivot("yr", years).agg(measure)
-    total = j.groupBy(*ids).pivot("yr", years).agg(measure).withColumn("Area", F.lit(TOTAL_LABEL))
+    total = j.groupBy(*ids).pivot("yr", years).agg(measure).withColumn("Area", F.lit(S.TOTAL_LABEL))
     out = parts.unionByName(total)
     return out.select("cod_dpto", "nom_dpto", "cod_mpio", "nom_mpio", "Area",
                       *[q(y).cast("double").alias(y) for y in years])
@@ -99,10 +91,10 @@ def area_code(area) -> object:
              .when(a.contains("total"), 0).otherwise(-1)).cast("long")
 
 
-def wide_to_long(wide: DataFrame, value: str, department: str = "05",
-                 years: Sequence[int] = COVERAGE_YEARS) -> DataFrame:
-    """The projection ETL."""
+def wide_to_long(wide: DataFrame, value: str, department: str, years: Sequence[int]) -> DataFrame:
+    """The projection ETL. All year columns that
+    the sheet has are read; ``years`` are kept."""
     df = drop_null(department_filter(wide, department), ["cod_mpio"])
     df = df.withColumns({"cod_mpio": norm_code(q("cod_mpio")), "Cod_clase": area_code(q("Area"))})
-    long = unpivot_years(df, ["cod_mpio", "Cod_clase"], SHEET_YEARS, value)
+    long = unpivot_years(df, ["cod_mpio", "Cod_clase"], value)
     return filter_years(long, years).select("cod_mpio", "anio", "Cod_clase", value)

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from mesura import schemas as S
 from mesura.sources.literals import state_dim
-from mesura.sources.tables import sized_broadcast
 
 
 def q(name: str):
@@ -23,19 +22,23 @@ def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.groupBy(q(a), q(b)).agg(F.count(F.lit(1)).alias("records"))
 
 
-def crosstab_wide(df: DataFrame, a: str, b: str, values: Sequence[str]) -> DataFrame:
+def crosstab_wide(df: DataFrame, a: str, b: str, values: Sequence[str], other: str = "other") -> DataFrame:
     """A2 wide form: one column per listed value of ``b`` (explicit values: no
-    extra job to discover them)."""
-    return df.groupBy(q(a)).pivot(b, list(values)).count()
+    extra job to discover them) and column ``other`` for all other values and
+    null, so that every row is counted."""
+    some = F.nullif(F.count_if(~F.coalesce(q(b).isin(*values), F.lit(False))), F.lit(0))
+    return df.groupBy(q(a)).agg(*[F.nullif(F.count_if(q(b) == v), F.lit(0)).alias(v) for v in values], some.alias(other))
 
 
-def schema_conformance(spark: SparkSession, expected: Sequence[str], actual: Sequence[str]) -> DataFrame:
-    """Q1: expected model columns vs actual file columns.
+def schema_conformance(spark: SparkSession, expected: Sequence[str], path: str) -> DataFrame:
+    """Q1: a declared list of columns against the schema of the Parquet table
+    at ``path``.
 
     status = "ok" (exact), "case" (differs in case only), "missing" (not in
     the file) or "extra" (in the file, not expected, ignoring case). Both
-    inputs are column-name lists (driver-sized by nature: a schema).
+    sides are column-name lists (driver-sized by nature: a schema).
     """
+    actual = spark.read.parquet(path).columns
     sch = T.StructType([T.StructField("name", T.StringType())])
     e = spark.createDataFrame([(n,) for n in expected], sch).withColumn("k", F.lower("name"))
     a = spark.createDataFrame([(n,) for n in actual], sch).withColumn("k", F.lower("name"))
@@ -48,7 +51,7 @@ def schema_conformance(spark: SparkSession, expected: Sequence[str], actual: Seq
 def with_state(fact: DataFrame, spark: SparkSession) -> DataFrame:
     """Text state code joined to the integer-coded state dimension; a
     code absent from the dimension gets a null category."""
-    dim = sized_broadcast(state_dim(spark))
+    dim = state_dim(spark)
     return fact.join(dim, q("estado").try_cast("int") == q("Cod_Estado"), "left")
 
 
@@ -62,12 +65,3 @@ def quality_categories(fact: DataFrame, spark: SparkSession, keys: Sequence[str]
         F.nullif(F.count_if(cat == "Verificación"), F.lit(0)).alias("persons_to_verify"),
         F.nullif(F.count_if(cat == "Excluido"), F.lit(0)).alias("persons_excluded"),
         F.nullif(F.count_if(cat.isNull()), F.lit(0)).alias("persons_unknown_state"))
-
-
-EXPECTED_FACT_COLUMNS = None  # filled lazily from the survey column list
-
-
-def expected_fact_columns() -> list[str]:
-    from mesura.sources.survey import SURVEY_COLUMNS
-    skip = {"Municipio", "Subregion", "household_key"}
-    return [n for n, _, _ in SURVEY_COLUMNS if n not in skip] + list(S.DERIVED_COLUMNS)

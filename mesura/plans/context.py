@@ -18,6 +18,12 @@ class FilterContext:
     def __init__(self, filters: dict[str, Column] | None = None):
         self._f: dict[str, Column] = dict(filters or {})
 
+    @classmethod
+    def latest(cls, fact: DataFrame, column: str = "anio") -> "FilterContext":
+        """The greatest year of ``fact``, as a scalar subquery: a table
+        partitioned by year reads that year's files only."""
+        return cls({column: F.col(f"`{column}`") == fact.agg(F.max(f"`{column}`")).scalar()})
+
     @classmethod
     def of(cls, **values) -> "FilterContext":
         """Equality / membership filters: ``of(anio=2000, Subregion=["ASIA"])``."""

@@ -32,7 +32,10 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: st
     for k, nk in renamed.items():
         r = r.withColumnRenamed(k, nk)
     cond = reduce(lambda a, b: a & b, [q(k).eqNullSafe(q(nk)) for k, nk in renamed.items()])
-    return left.join(r, cond, how).drop(*renamed.values())
+    out = left.join(r, cond, how)
+    if how == "full_outer":
+        out = out.withColumns({k: F.coalesce(q(k), q(nk)) for k, nk in renamed.items()})
+    return out.drop(*renamed.values())
 
 
 def evaluate(fact: DataFrame, keys: Sequence[str], names: Sequence[str],
@@ -44,7 +47,10 @@ def evaluate(fact: DataFrame, keys: Sequence[str], names: Sequence[str],
     ``groupBy(keys).agg(...)`` (one scan, one shuffle of partial aggregates).
     A base whose own predicate column is a group key or an outer filter
     (rule B12) is evaluated again with that key and filter removed, grouped by
-    the remaining keys, and joined back.
+    the remaining keys, and joined back. Where only a filter was removed the
+    join is full: a member whose rows the filter hides altogether still shows
+    the measures that replace it. Where a key was removed its members are
+    those of the filtered fact.
     """
     keys = list(keys)
     ctx = ctx or FilterContext()
@@ -68,7 +74,7 @@ def evaluate(fact: DataFrame, keys: Sequence[str], names: Sequence[str],
         rest = [k for k in keys if k not in removed]
         side = (ctx.without(removed).apply(fact).groupBy(*[q(k) for k in rest])
                 .agg(*[BASES[b].make().alias(b) for b in bases]))
-        out = join_on_keys(out, side, rest)
+        out = join_on_keys(out, side, rest, "left" if len(rest) < len(keys) or not keys else "full_outer")
 
     cols = [q(k) for k in keys] + [m.value(q).alias(m.name) for m in ms]
     if keep_bases:

@@ -186,12 +186,14 @@ MEANS = {
                         DWELL_COLS + ("Sexo_Jefe",)),
     "AVG_ROOMS": (lambda: F.avg(col("num_cuartos_vivienda")), ()),
     "AVG_HH_PER_DW": (lambda: F.avg(col("num_hogares_vivienda")), ()),
-    "AVG_SPEND_TOTAL": (lambda: F.avg(F.when(head(), col("vlr_total_gastos"))), GRAIN_COLS),
+    # a mean over filtered rows of the table intersects with the context: it replaces no filter
+    "AVG_SPEND_TOTAL": (lambda: F.avg(F.when(head(), col("vlr_total_gastos"))), ()),
 }
 for e in EVENTS:
-    MEANS[f"AVG_EVENT_{e}"] = (
-        lambda e=e: F.avg(F.when(col(f"ind_evento_{e}") == 1, col(EVENT_COUNT_COLUMN[e]))),
-        (f"ind_evento_{e}",))
+    event_mean = lambda e=e: F.avg(F.when(col(f"ind_evento_{e}") == 1, col(EVENT_COUNT_COLUMN[e])))
+    MEANS[f"AVG_EVENT_{e}"] = (event_mean, ())
+    # the event selector's mean has a plain filter on the flag, which replaces the context's
+    MEANS[f"AVG_SELECTED_{e}"] = (event_mean, (f"ind_evento_{e}",))
 for name, (mk, fc) in MEANS.items():
     base(name, mk, fc, additive=False)
 
@@ -257,9 +259,11 @@ measure(84, "mean_rooms", "AVG_ROOMS")
 measure(85, "mean_households_per_dwelling", "AVG_HH_PER_DW")
 for i, e in enumerate(EVENTS):
     _ratio(86 + i, f"pct_{EVENT_NAMES[e]}", f"DW_EVENT_{e}", "DW")
-for ref, e in [(93, "inundacion"), (94, "avalancha"), (95, "hundimiento"), (96, "incendio"),
-               (97, "terremoto"), (200, "vendaval")]:
+for ref, e in [(93, "inundacion"), (94, "avalancha"), (95, "hundimiento"), (96, "incendio"), (97, "terremoto")]:
     measure(ref, f"mean_{EVENT_NAMES[e]}s", f"AVG_EVENT_{e}")
+measure(200, "mean_windstorms", "AVG_SELECTED_vendaval")
+for e in EVENTS:
+    measure(200, f"selected_mean_{EVENT_NAMES[e]}s", f"AVG_SELECTED_{e}")
 _ratio(101, "poverty_incidence", "GAB", "P", div0)
 for k in range(1, 16):
     _ratio(102 + k, f"pct_i{k}", f"SUM_I{k}", "P", div0)

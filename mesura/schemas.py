@@ -205,15 +205,72 @@ NAME_ALIASES = [
     ("laceja", "lacejadeltambo"),
     ("penol", "elpenol"),
 ]
-# ---------------------------------------------------------------- FIXED VALUES
 
-# Relationships of the star model: (fact column, dimension, dimension column).
+# Header rules: (canonical name, prefix, parts it holds, shorter than). Names
+# are compared in lower case with '?' read as 'ñ'; the last rule that fits wins.
+SURVEY_HEADERS = [
+    ("ind_discap_bañarse", "ind_discap_ba", ("arse",), None),
+    ("tip_cuidado_niños", "tip_cuidado_ni", ("os",), None),
+    ("Num_evento_vendaval", "num_evento_vendaval", (), 20),
+]
+POPULATION_HEADERS = [
+    ("DPMP", "", ("dpmp",), None),
+    ("AÑO", "", ("ao",), None),
+    ("AÑO", "", ("a", "o"), 5),
+    ("Genero", "", ("genero",), None),
+    ("AREA_TXT", "", ("rea", "geogr"), None),
+    ("Edad_Num", "", ("edad_num",), None),
+    ("Pob", "", ("pob",), 5),
+]
+
+# Columns of the survey file read as integers, and as text.
+INTEGER_COLUMNS = """
+Cod_clase tip_vivienda tip_mat_paredes tip_mat_pisos ind_tiene_energia tip_estrato_energia ind_tiene_alcantarillado ind_tiene_gas
+ind_tiene_recoleccion ind_tiene_acueducto tip_estrato_acueducto num_cuartos_vivienda num_hogares_vivienda ide_hogar tip_ocupa_vivienda
+num_cuartos_exclusivos num_cuartos_dormir num_cuartos_unicos_dormir tip_sanitario tip_ubi_sanitario tip_uso_sanitario tip_origen_agua
+ind_agua_llega_7dias num_dias_llega ind_agua_llega_24horas num_horas_llega tip_uso_agua_beber tip_elimina_basura ind_tiene_cocina
+tip_prepara_alimentos tip_uso_cocina tip_energia_cocina ind_tiene_nevera ind_tiene_lavadora ind_tiene_pc ind_tiene_internet ind_tiene_moto
+ind_tiene_tractor ind_tiene_carro ind_tiene_bien_raiz ind_gasto_alimento vlr_gasto_alimento ind_gasto_transporte vlr_gasto_transporte
+ind_gasto_educacion vlr_gasto_educacion ind_gasto_salud vlr_gasto_salud ind_gasto_serv_publicos vlr_gasto_serv_publicos ind_gasto_celular
+vlr_gasto_celular ind_gasto_arriendo vlr_gasto_arriendo ind_gasto_otros vlr_gasto_otros vlr_total_gastos num_habita_vivienda
+ind_evento_inundacion num_evento_inundacion ind_evento_avalancha num_evento_avalancha ind_evento_terremoto num_evento_terremoto
+ind_evento_incendio num_evento_incendio ind_evento_vendaval Num_evento_vendaval ind_evento_hundimiento num_evento_hundimiento
+num_personas_hogar sexo_persona tip_parentesco tip_estado_civil ind_conyuge_vive_hogar ide_conyuge ind_padre_vive_hogar ide_padre
+ind_pariente_domestico ide_serv_domestico ind_discap_ver ind_discap_oir ind_discap_hablar ind_discap_moverse ind_discap_bañarse
+ind_discap_salir ind_discap_entender ind_discap_ninguna tip_seg_social ind_enfermo_30 ind_acudio_salud ind_fue_atendido_salud
+ind_esta_embarazada ind_tuvo_hijos tip_cuidado_niños ind_recibe_comida ind_leer_escribir ind_estudia niv_educativo grado_alcanzado
+ind_fondo_pensiones tip_actividad_mes num_sem_buscando tip_empleado ind_ingr_salario vlr_ingr_salario ind_ingr_honorarios
+vlr_ingr_honorarios ind_ingr_cosecha vlr_ingr_cosecha ind_ingr_pension vlr_ingr_pension ind_ingr_remesa_pais vlr_ingr_remesa_pais
+ind_ingr_remesa_exterior vlr_ingr_remesa_exterior ind_ingr_arriendos vlr_ingr_arriendos ind_otros_ingresos vlr_otros_ingresos
+ind_ingr_estado vlr_ingr_fam_accion vlr_ingr_col_mayor vlr_ingr_otro_subsidio H_5 I1 I2 I3 I4 I5 I6 I7 I8 I9 I10 I11 I12 I13 I14 I15 Edad anio
+""".split()
+TEXT_COLUMNS = ("NOM_BARRIO", "NOM_CORREGIMIENTO", "NOM_VEREDA", "Clasificacion", "grupo_sisben", "Fec_digitacion", "marca", "estado", "filename")
+
+# Column order of the latest-year extract.
+EXTRACT_PRIORITY = ["cod_mpio", "NOM_MUNICIPIO", "Cod_clase", "NOM_BARRIO", "Clasificacion", "grupo_sisben", "anio"]
+
+# Area labels of the projection sheets.
+TOWN_LABEL, RURAL_LABEL, TOTAL_LABEL = "Cabecera", "Centros Poblados y Rural Disperso", "Total"
+
+# Subregion names as the title writes them.
+SUBREGION_TITLES = {"VALLE DE ABURRA": "Valle de Aburra", "BAJO CAUCA": "Bajo Cauca", "MAGDALENA MEDIO": "Magdalena Medio",
+                    "NORDESTE": "Nordeste", "NORTE": "Norte", "OCCIDENTE": "Occidente", "ORIENTE": "Oriente",
+                    "SUROESTE": "Suroeste", "URABA": "Uraba"}
+
+# Relationships of the model: (table, column, dimension, column).
 RELATIONSHIPS = [
-    ("cod_mpio", "territory", "cod_mpio"),
-    ("anio", "years", "anio"),
-    ("estado", "state", "Cod_Estado"),
-    ("marca", "mark", "Cod_Marca"),
+    ("fact", "cod_mpio", "territory", "cod_mpio"),
+    ("population", "cod_mpio", "territory", "cod_mpio"),
+    ("population", "anio", "years", "anio"),
+    ("population", "Rango_Edad", "age_band", "Rango_Edad"),
+    ("fact", "estado", "state", "Cod_Estado"),
+    ("fact", "anio", "years", "anio"),
+    ("households", "cod_mpio", "territory", "cod_mpio"),
+    ("households", "anio", "years", "anio"),
+    ("dwellings", "cod_mpio", "territory", "cod_mpio"),
+    ("dwellings", "anio", "years", "anio"),
 ]
+# ---------------------------------------------------------------- FIXED VALUES
 
 TERRITORY_COLUMNS = ("cod_mpio", "Municipio", "Subregion")
 
@@ -226,12 +283,5 @@ DERIVED_COLUMNS = [
     "Regimen_Salud_Limpio",
 ]
 
-DERIVED_TYPES = {
-    "orden_clasificacion": T.LongType(), "Privaciones_Vivienda": T.LongType(),
-    "Es_Jefe": T.LongType(), "Sexo_Jefe": T.LongType(), "Personas_por_Cuarto": T.DoubleType(),
-    "Orden_Paredes": T.LongType(), "Orden_Edad": T.LongType(),
-}
-
-
 def literal_schema(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])

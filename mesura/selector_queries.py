@@ -5,15 +5,17 @@ missing yields null, as the SWITCH without default does."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mesura import schemas as S
 from mesura.catalog import register
-from mesura.functions.blank import distinct_count_with_blank
+from mesura.functions.blank import div
 from mesura.plans.analytics import q
-from mesura.plans.evaluate import evaluate, join_on_keys, rounded
-from mesura.plans.measures import EVENT_NAMES, EVENTS, EXPENSES
+from mesura.plans.evaluate import evaluate, rounded
+from mesura.plans.measures import BASES, EVENT_NAMES, EVENTS, EXPENSES, MEASURES, head
 from mesura.sources.survey import fact
 from mesura.sqlfact import lit, with_fact
 from mesura.sqlmeasures import DW, SQL, cnt, sdiv
@@ -77,13 +79,18 @@ HH_BRANCHES = [(label, m) for (label, _), m in zip(S.HOUSEHOLD_INDICATOR_ROWS, H
 
 def select_household(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Household indicator selector: condition shares, per-household-number
-    expense means (two-level) and the total expense mean, typed by label."""
-    f = fact(spark, sf_dir)
-    agg = evaluate(f, KEYS, HH_MEASURES + ["mean_spend_total"])
+    expense means (two-level) and the total expense mean, typed by label. One
+    pass: counts and sums of the finer aggregate add up to the coarser one."""
     cols = {f"mean_spend_{k}": f"vlr_gasto_{v}" for k, v in EXPENSES.items()}
-    lvl1 = f.groupBy(*KEYS, "ide_hogar").agg(*[F.max(c).alias(n) for n, c in cols.items()])
-    spend = lvl1.groupBy(*KEYS).agg(*[F.avg(n).alias(n) for n in cols])
-    both = join_on_keys(agg, spend, KEYS)
+    ratios = [MEASURES[m] for m in HH_MEASURES]
+    counts = sorted({b for m in ratios for b in m.needs})
+    spent = F.when(head(), q("vlr_total_gastos"))
+    fine = (fact(spark, sf_dir).groupBy(*KEYS, "ide_hogar")
+            .agg(*[BASES[b].make().alias(b) for b in counts], *[F.max(c).alias(n) for n, c in cols.items()],
+                 F.sum(spent).alias("__spent"), F.count(spent).alias("__heads")))
+    agg = fine.groupBy(*KEYS).agg(*[F.sum(b).alias(b) for b in counts], *[F.avg(n).alias(n) for n in cols],
+                                  div(F.sum("__spent"), F.sum("__heads")).alias("mean_spend_total"))
+    both = agg.select(*KEYS, *[m.value(q).alias(m.name) for m in ratios], *cols, "mean_spend_total")
     rows = stack_rows(both, KEYS, [(t, q(m)) for t, m in HH_BRANCHES], "indicator")
     cat = F.create_map(*[x for a, b in S.HOUSEHOLD_INDICATOR_ROWS for x in (F.lit(a), F.lit(b))])
     kind = F.when(q("indicator").contains("Gasto"), "Gasto").otherwise("Condiciones")
@@ -134,18 +141,19 @@ def _matrix_branches():
 MATRIX = _matrix_branches()
 
 
-def select_material(spark: SparkSession, sf_dir: str) -> DataFrame:
+def select_material(spark: SparkSession, sf_dir: str, selected: Sequence[str] = SELECTED_TYPES) -> DataFrame:
     """Housing matrix: material counts over the subregion's dwellings of all
     years (ALLEXCEPT), service shares as they are; plus the type filter flag
     (1 when the row's type is among the selected types)."""
-    from mesura.plans.measures import BASES
-    f = fact(spark, sf_dir)
-    counts = f.groupBy(*KEYS).agg(
+    services = [MEASURES[m] for _, m in S.SERVICE_PROBLEMS]
+    needs = sorted({b for m in services for b in m.needs} | {"DW"})
+    agg = fact(spark, sf_dir).groupBy(*KEYS).agg(
         *[BASES[f"DW_FLOOR_{c}"].make().alias(f"floor_{c}") for c in range(1, 7)],
-        *[BASES[f"DW_WALL_{c}"].make().alias(f"wall_{c}") for c in range(0, 8)])
-    services = evaluate(f, KEYS, [m for _, m in S.SERVICE_PROBLEMS])
-    base = evaluate(f, ["Subregion"], ["dwellings"]).withColumnRenamed("dwellings", "subregion_dwellings")
-    j = join_on_keys(join_on_keys(counts, services, KEYS), base, ["Subregion"])
+        *[BASES[f"DW_WALL_{c}"].make().alias(f"wall_{c}") for c in range(0, 8)],
+        *[BASES[b].make().alias(b) for b in needs])
+    # dwellings add up over the years: the subregion's total is a window over the aggregate
+    j = (agg.withColumn("subregion_dwellings", F.sum("DW").over(Window.partitionBy("Subregion")))
+            .withColumns({m.name: m.value(q) for m in services}))
     branches = []
     for label, kind, col, is_count in MATRIX:
         if col is None:
@@ -157,9 +165,7 @@ def select_material(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stack_rows(j, KEYS, branches, "category")
     kinds = F.create_map(*[x for label, kind, _, _ in MATRIX for x in (F.lit(label), F.lit(kind))])
     rows = rows.withColumn("kind", F.element_at(kinds, q("category")))
-    sel = F.broadcast(spark.createDataFrame([(t,) for t in SELECTED_TYPES], "sel_kind string"))
-    rows = rows.join(sel, q("kind") == q("sel_kind"), "left") \
-               .withColumn("type_filter", q("sel_kind").isNotNull().cast("long")).drop("sel_kind")
+    rows = rows.withColumn("type_filter", q("kind").isin(*selected).cast("long"))
     return rounded(rows)
 
 
@@ -210,7 +216,7 @@ def _simple_selector(branches: list[tuple[str, str | None]], label: str, extra:
 EVENT_LABEL = dict(zip(EVENTS, S.EVENT_ROWS))
 _ev_run, _ev_sql = _simple_selector([(EVENT_LABEL[e], f"pct_{EVENT_NAMES[e]}") for e in EVENTS], "event")
 register("select_event", _ev_sql)(_ev_run)
-_evm_run, _evm_sql = _simple_selector([(EVENT_LABEL[e], f"mean_{EVENT_NAMES[e]}s") for e in EVENTS], "event")
+_evm_run, _evm_sql = _simple_selector([(EVENT_LABEL[e], f"selected_mean_{EVENT_NAMES[e]}s") for e in EVENTS], "event")
 register("select_event_means", _evm_sql)(_evm_run)
 _dep_run, _dep_sql = _simple_selector(list(zip(S.DEPRIVATION_ROWS, ["pct_no_water", "pct_poor_sanitation",
                                                                     "pct_poor_floors", "pct_poor_walls",
@@ -226,7 +232,9 @@ SANITARY_COLS = ["tip_sanitario", "tip_ubi_sanitario", "tip_uso_sanitario", "tip
 
 
 def _single(c: Column) -> Column:
-    return F.when(distinct_count_with_blank(c) == 1, F.max(c))
+    """The one visible value: least and greatest are equal and none is missing
+    (plain partial aggregates, no distinct count)."""
+    return F.when((F.min(c) == F.max(c)) & (F.count(c) == F.count(F.lit(1))), F.max(c))
 
 
 def _single_sql(c: str) -> str:

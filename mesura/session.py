@@ -39,13 +39,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared file system (HDFS, object store);
-    it is read from the session and never replaced. Only when it is unset (a
-    local test session) is a private folder created and registered.
+    it is read from the session and never replaced, and a missing setting is
+    an error: executors cannot see a folder of the driver's machine. A session
+    with a ``local`` master alone gets a private folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext._conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir is unset; name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="mesura-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -62,6 +66,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def input_signature(spark: SparkSession, path: str) -> str:
+    """Files of ``path`` with lengths and modification times, as its Hadoop
+    file system lists them: changes whenever the input is replaced."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return f"{path}:absent"
+    found, files = [], fs.listFiles(p, True)
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath().toString()}:{f.getLen()}:{f.getModificationTime()}")
+    return "\n".join(sorted(found))
+
+
 def join_path(base: str, *parts: str) -> str:
     out = base.rstrip("/")
     for p in parts:

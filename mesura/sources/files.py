@@ -1,4 +1,5 @@
-"""File sources: the survey CSV folder (S4) and the population CSV."""
+"""File sources and sinks: the survey CSV folder (S4), the population CSV (S5),
+footer facts of a Parquet table (S3) and the Parquet sink (S7)."""
 
 from __future__ import annotations
 
@@ -15,7 +16,28 @@ def read_csv_folder(spark: SparkSession, folder: str, sep: str = ";", encoding:
     return df.withColumn("Source.Name", F.col("_metadata.file_name"))
 
 
-def read_population_csv(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
-    """The population projection file; the encoding is a parameter
-    (Latin-1 by default, UTF-8 for files that are)."""
-    return spark.read.option("header", True).option("encoding", encoding).csv(path)
+def read_population_csv(spark: SparkSession, path: str, encodings: tuple[str, ...] = ("UTF-8", "ISO-8859-1")) -> DataFrame:
+    """The population projection file, in the first encoding under which
+    its header holds no replacement character."""
+    for encoding in encodings:
+        df = spark.read.option("header", True).option("encoding", encoding).csv(path)
+        if not any("\ufffd" in c for c in df.columns):
+            return df
+    raise ValueError(f"{path}: no encoding of {encodings} reads its header")
+
+
+def parquet_facts(spark: SparkSession, path: str) -> DataFrame:
+    """S3: one row (column_name, data_type, position, row_count) for each
+    column of a Parquet table. The count needs no column, so the scan reads
+    footers and no pages."""
+    df = spark.read.parquet(path)
+    columns = spark.createDataFrame([(f.name, f.dataType.simpleString(), k) for k, f in enumerate(df.schema.fields)],
+                                    "column_name string, data_type string, position int")
+    return columns.withColumn("row_count", F.lit(df.count()).cast("long"))
+
+
+def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, max_records: int = 5_000_000) -> None:
+    """Snappy Parquet, overwrite, files of bounded size; the commit
+    protocol replaces the table atomically per job."""
+    w = df.write.mode("overwrite").option("compression", "snappy").option("maxRecordsPerFile", max_records)
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)

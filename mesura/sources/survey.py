@@ -12,15 +12,15 @@ the surveyed ETL does with its enriched Parquet file.
 from __future__ import annotations
 
 import hashlib
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mesura.session import ensure_checkpoint_dir, join_path, path_exists
-from mesura.sources.tables import read_table, sized_broadcast
+from mesura.session import ensure_checkpoint_dir, input_signature, join_path, path_exists
+from mesura.sources.files import write_parquet
+from mesura.sources.tables import read_table
 
-FACT_VERSION = "4"
+FACT_VERSION = "5"
 
 def _columns() -> list[tuple[str, str, str]]:
     """(name, SQL expression, type) in the order of the semantic model."""
@@ -159,57 +159,59 @@ VIEW_FROM_SQL = ("lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey "
                  "JOIN region r ON n.n_regionkey = r.r_regionkey")
 
 
-def survey_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw survey view (base columns, no derived ones).
+def survey_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined source rows, columns of the base tables as they are.
 
-    Join order: orders x customer (shuffle on custkey, narrow columns), then
-    nation and region broadcast behind a row-count check, then lineitem joined
-    on orderkey, so that the largest table is shuffled exactly once.
+    No partitioning is asked for: the planner places the exchanges, so AQE can
+    coalesce them, split a hot key's partition or broadcast a small side.
     """
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
-                                                   "o_orderpriority").alias("o")
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey").alias("c")
-    n = sized_broadcast(read_table(spark, sf_dir, "nation")).alias("n")
-    r = sized_broadcast(read_table(spark, sf_dir, "region")).alias("r")
-    # Both sides are hash-partitioned on the order key with the session's
-    # shuffle partition count: at scale these are exactly the exchanges a
-    # sort-merge join needs (so they add none), and when AQE turns the join
-    # into a broadcast at small scale the probe side keeps all partitions
-    # instead of the one split of a single-row-group file.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    line = read_table(spark, sf_dir, "lineitem")
-    line = line.repartition(parts, F.col("l_orderkey")).alias("l")
-    oc = (o.join(c, F.col("o.o_custkey") == F.col("c.c_custkey"))
-           .join(n, F.col("c.c_nationkey") == F.col("n.n_nationkey"))
-           .join(r, F.col("n.n_regionkey") == F.col("r.r_regionkey")))
-    oc = oc.repartition(parts, F.col("o.o_orderkey"))
-    j = line.join(oc, F.col("l.l_orderkey") == F.col("o.o_orderkey"))
-    return j.select(*[F.expr(f"cast({x} as {t})").alias(nm) for nm, x, t in SURVEY_COLUMNS])
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    line = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
+    oc = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+           .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+           .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
+    return line.join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+def survey_columns(rows: DataFrame) -> DataFrame:
+    """The survey's base columns over joined source rows."""
+    for alias, prefix in (("l", "l_"), ("o", "o_"), ("c", "c_"), ("n", "n_"), ("r", "r_")):
+        rows = rows.withColumn(alias, F.struct(*[F.col(x) for x in rows.columns if x.startswith(prefix)]))
+    return rows.select(*[F.expr(f"cast({x} as {t})").alias(nm) for nm, x, t in SURVEY_COLUMNS])
+
+
+def survey_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw survey view (base columns, no derived ones)."""
+    return survey_columns(survey_rows(spark, sf_dir))
 
 
 def build_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enriched fact. The narrow joined rows are rebalanced by year (an
+    exchange that AQE sizes and splits) before the 135 columns are computed,
+    so a year's rows meet in files of bounded size and the wide rows never
+    cross the network."""
     from mesura.operators.derive import enrich
-    return enrich(survey_view(spark, sf_dir))
+    rows = survey_rows(spark, sf_dir).withColumn("survey_year", F.year("o_orderdate"))
+    rows = spark.sql("SELECT /*+ REBALANCE(survey_year) */ * FROM {rows}", rows=rows)
+    return enrich(survey_columns(rows))
 
 
-_CACHE: dict[tuple[int, str], tuple[str, object]] = {}
+_SCHEMAS: dict[tuple[str, str], object] = {}
 
 
-def _fingerprint(sf_dir: str) -> str:
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     h = hashlib.sha1(FACT_VERSION.encode())
-    h.update(os.path.realpath(sf_dir).encode())
     for t in ("lineitem", "orders", "customer", "nation", "region"):
-        p = os.path.join(sf_dir, f"{t}.parquet")
-        try:
-            st = os.stat(p)
-            h.update(f"{t}:{st.st_size}:{int(st.st_mtime)}".encode())
-        except OSError:
-            h.update(t.encode())
+        h.update(input_signature(spark, f"{sf_dir.rstrip('/')}/{t}.parquet").encode())
     return h.hexdigest()[:16]
 
 
 def fact_path(spark: SparkSession, sf_dir: str) -> str:
-    return join_path(ensure_checkpoint_dir(spark), "mesura_fact", _fingerprint(sf_dir))
+    return join_path(ensure_checkpoint_dir(spark), "mesura_fact", _fingerprint(spark, sf_dir))
 
 
 def materialise_fact(spark: SparkSession, sf_dir: str, path: str | None = None) -> str:
@@ -221,18 +223,15 @@ def materialise_fact(spark: SparkSession, sf_dir: str, path: str | None = None)
     """
     path = path or fact_path(spark, sf_dir)
     if not path_exists(spark, join_path(path, "_SUCCESS")):
-        (build_fact(spark, sf_dir)
-         .sortWithinPartitions("anio", "cod_mpio")
-         .write.mode("overwrite").partitionBy("anio").parquet(path))
+        write_parquet(build_fact(spark, sf_dir).sortWithinPartitions("anio", "cod_mpio"), path, ["anio"])
     return path
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The enriched survey fact, read from its materialised Parquet table."""
-    key = (id(spark), os.path.realpath(sf_dir))
-    hit = _CACHE.get(key)
-    if hit is None:
-        path = materialise_fact(spark, sf_dir)
-        hit = _CACHE[key] = (path, build_fact(spark, sf_dir).schema)
-    path, schema = hit
-    return spark.read.schema(schema).parquet(path)
+    """The enriched survey fact, read from its materialised Parquet table.
+    Replaced inputs have another fingerprint, hence another table."""
+    path = materialise_fact(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = build_fact(spark, sf_dir).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)

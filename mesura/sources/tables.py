@@ -1,27 +1,11 @@
-"""Driver tables and the size-checked broadcast."""
+"""Driver tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# Broadcast bound for dimension-like sides (rows). Above it the join stays a
-# shuffle join and AQE decides at run time.
-BROADCAST_MAX_ROWS = 200_000
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after proving it holds at most ``max_rows`` rows.
-
-    The proof is ``limit(max_rows + 1).count()``: it stops reading as soon as
-    the bound is exceeded, so the check costs at most ``max_rows`` rows.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

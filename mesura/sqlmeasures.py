@@ -127,7 +127,7 @@ for name, stem, _ in EVENT_SQL:
 for name, cond in _dw_share.items():
     SQL[name] = sdiv(cnt(f"{DW} AND {cond}"), DWC)
 for name, stem, num in EVENT_SQL:
-    SQL[f"mean_{name}s"] = avg_if(f"ind_evento_{stem} = 1", num)
+    SQL[f"mean_{name}s"] = SQL[f"selected_mean_{name}s"] = avg_if(f"ind_evento_{stem} = 1", num)
 for k in range(1, 16):
     SQL[f"pct_i{k}"] = sdiv0(f"sum(I{k})", P)
 _assets = {"internet": "ind_tiene_internet", "fridge": "ind_tiene_nevera", "washer": "ind_tiene_lavadora",

@@ -11,6 +11,8 @@ what is there and stops, which suits a scheduled job.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -24,7 +26,9 @@ def enrich_stream(spark: SparkSession, in_dir: str, out_dir: str, schema: T.Stru
     src = (spark.readStream.schema(schema)
            .option("maxFilesPerTrigger", max_files_per_trigger)
            .parquet(in_dir))
-    ckpt = join_path(ensure_checkpoint_dir(spark), "mesura_streams", name)
+    # one log of files done for each pair of folders
+    pair = hashlib.sha1(f"{in_dir}\n{out_dir}".encode()).hexdigest()[:16]
+    ckpt = join_path(ensure_checkpoint_dir(spark), "mesura_streams", f"{name}-{pair}")
     return (enrich(src).writeStream.format("parquet")
             .option("path", out_dir).option("checkpointLocation", ckpt)
             .partitionBy("anio").outputMode("append")

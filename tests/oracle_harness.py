@@ -6,17 +6,21 @@ Usage: python -m tests.oracle_harness [sf_dir] [name ...]
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
 import duckdb
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def duck(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
+        if not os.path.exists(f"{sf_dir}/{t}.parquet"):
+            continue
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return con
 

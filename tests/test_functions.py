@@ -15,9 +15,9 @@ def one(spark, expr, rows, schema):
 
 
 def test_lenient_long(spark):
-    vals = ["nan", "12.0", "x", "3.7", "5", None, "inf", "-4.0"]
+    vals = ["nan", "12.0", "x", "3.7", "5", None, "inf", "-4.0", " 7 ", "", "9007199254740993", "9223372036854775808"]
     out = one(spark, lenient_long(F.col("v")), [(v,) for v in vals], "v string")
-    assert out == [None, 12, None, None, 5, None, None, -4]
+    assert out == [None, 12, None, None, 5, None, None, -4, 7, None, 9007199254740993, None]
 
 
 def test_null_text(spark):
@@ -39,6 +39,22 @@ def test_age_bands(spark):
     assert orders == [1, 1, 1, 2, 16, 17, None, 17]
 
 
+def test_label_texts():
+    """Literal texts of each label column, apart from the module that holds them."""
+    assert S.DWELLING_TYPE[1] == "Casa" and S.DWELLING_TYPE[2] == "Apartamento" and S.DWELLING_TYPE[3] == "Cuarto"
+    assert S.WALL_MATERIAL[0] == "Sin paredes" and S.WALL_MATERIAL[1] == "Bloque, ladrillo, piedra, madera pulida"
+    assert S.SERVICE == {1: "Sí tiene servicio", 2: "No tiene servicio"}
+    assert S.AREA_CLASS == {1: "Urbano", 2: "Urbano", 3: "Rural"}
+    assert S.SANITARY[1] == "Con conexión a alcantarillado" and S.SANITARY[2] == "Con conexión a pozo séptico"
+    assert S.HEAD_SEX == {1: "Hombre jefe", 2: "Mujer jefe"}
+    assert S.FLOOR_MATERIAL[1] == "Alfombra o tapete, mármol, parqué, madera pulida y lacada"
+    assert S.TENURE[1] == "Arriendo o subarriendo" and S.TENURE[2] == "Propia pagando" and S.TENURE[3] == "Propia pagada"
+    assert S.HEALTH_REGIME == {0: "Ninguno", 1: "Contributivo", 2: "Especial", 3: "Subsidiado", 9: "No sabe"}
+    assert S.AGE_BANDS[0] == (4, "00-04") and S.AGE_BANDS[-1] == (None, "80+") and len(S.AGE_BANDS) == 17
+    assert S.HOUSING_QUALITY == ("Sin privaciones", "Privación moderada", "Privación alta") and S.UNKNOWN == "Sin información"
+    assert len(S.INTEGER_COLUMNS) == len(set(S.INTEGER_COLUMNS)) == 142 and len(S.RELATIONSHIPS) == 10
+
+
 def test_label_default(spark):
     out = one(spark, label(F.col("c"), S.SERVICE), [(1,), (2,), (7,), (None,)], "c long")
     assert out == [S.SERVICE[1], S.SERVICE[2], S.UNKNOWN, S.UNKNOWN]
@@ -64,8 +80,10 @@ def test_blank_count_and_single_value(spark):
 
 
 def test_normalise_name(spark):
-    out = one(spark, normalise_name(F.col("v")), [(" Medellín ",), ("El Peñol",), (None,)], "v string")
-    assert out == ["medellin", "elpenol", ""]
+    pairs = [(" Medellín ", "MEDELLIN"), ("El Peñol", "elpenol"), (None, ""), ("Łódź Ū", "łódzu"), ("Ağrı", "agrı"), ("Medellin", "Medelin")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    out = df.select((normalise_name(F.col("a")) == normalise_name(F.col("b"))).alias("x")).collect()
+    assert [r["x"] for r in out] == [True, True, True, True, True, False]
 
 
 def test_enrich_rules(spark):

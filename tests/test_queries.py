@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from mesura import catalog
 from tests.oracle_harness import compare, duck
 
 SF = os.environ.get("MESURA_TEST_SF", "/root/testdata/sf0.001")
@@ -23,14 +24,12 @@ def test_entry(spark):
 
 
 def test_every_query_has_a_check():
-    qs, sql = E.queries(), E.oracle_sql()
-    assert set(sql) <= set(qs)
-    rows_only = set(qs) - set(sql)
-    assert rows_only == {"schema_conformance", "export_catalogue"}
+    assert set(E.oracle_sql()) <= set(E.queries()) and set(catalog.QUERIES) <= set(E.queries())
+    assert set(catalog.ORACLE) == set(catalog.QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    info = compare(spark, con, SF, name, E.queries()[name], E.oracle_sql().get(name))
-    assert info.get("ok") in (True, None), info
+    info = compare(spark, con, SF, name, catalog.QUERIES[name], catalog.ORACLE[name])
+    assert info.get("ok") is True, info
     assert info["rows"] > 0
