@@ -11,13 +11,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from mesura.functions.blank import div, div0
 from mesura.plans.analytics import dense_rank_of, pareto, q
 from mesura.plans.evaluate import evaluate, rounded
 from mesura.sources.survey import fact
 from mesura.sqlfact import with_fact
+from mesura.sqlmeasures import cnt, MPI, sdiv, sdiv0
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,28 +31,10 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-# ---- SQL snippets of the oracle -------------------------------------------
-def cnt(cond: str | None = None) -> str:
-    return "nullif(count(*),0)" if cond is None else f"nullif(count(*) FILTER (WHERE {cond}),0)"
-
-
-def sdiv(a: str, b: str) -> str:
-    return f"(CAST({a} AS DOUBLE) / nullif({b},0))"
-
-
-def sdiv0(a: str, b: str) -> str:
-    return f"(CASE WHEN coalesce({b},0) = 0 THEN 0.0 ELSE CAST({a} AS DOUBLE) / {b} END)"
-
-
 def r6(x: str) -> str:
     return f"round({x}, 6)"
 
 
-HH = "tip_parentesco = 1"
-DW = "tip_parentesco = 1 AND ide_hogar = 1"
-MPI = "substring(trim(CAST(H_5 AS VARCHAR)), 1, 1) = '1'"
-
-
 # ===========================================================================
 # Flagship: persons, MPI persons and rate by municipality and year, dense rank
 # within subregion and year, Pareto accumulation within year.

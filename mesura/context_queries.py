@@ -22,7 +22,7 @@ from mesura.plans.evaluate import evaluate, join_on_keys, rounded
 from mesura.plans.measures import BASES, DWELL_COLS as GRAIN, EXPENSES
 from mesura.sources.survey import fact
 from mesura.sqlfact import lit, with_fact
-from mesura.sqlmeasures import DW, HH, MPI, P, SQL, bsub, cnt, sdiv, sdiv0
+from mesura.sqlmeasures import DW, MPI, P, SQL, bsub, cnt, sdiv, sdiv0
 
 TERRITORY = set(S.TERRITORY_COLUMNS)
 

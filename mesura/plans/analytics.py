@@ -48,10 +48,3 @@ def pareto(value: Column, partition: Sequence[str]) -> tuple[Column, Column]:
     cum = F.when(value.isNotNull(), F.sum(value).over(w))
     return cum, div(cum, total_over(value, partition))
 
-
-def minus(keys: Sequence[str], removed: Sequence[str]) -> list[str]:
-    return [k for k in keys if k not in set(removed)]
-
-
-def with_columns(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
-    return df.withColumns(cols)

@@ -221,7 +221,7 @@ for i, g in enumerate("ABCD"):
 measure(16, "poverty_persons", "GAB")
 _ratio(17, "poverty_rate", "GAB", "P", div0)
 measure(23, "max_year", "MAX_YEAR")
-measure(173, "min_age", "MIN_AGE")
+measure(173, "min_age", "MIN_AGE")  # parts of the title
 measure(173, "max_age", "MAX_AGE")
 _ratio(41, "mpi_incidence_department", "PIPM", "P")
 _ratio(46, "incidence", "PIPM", "P")
@@ -335,7 +335,7 @@ ANALYTIC_OUTPUTS = {
     166: ("persons_in_selection", "share_of_selection"), 167: ("label_group_a", "share_of_selection"),
     168: ("label_group_b", "share_of_selection"), 169: ("label_group_c", "share_of_selection"),
     170: ("label_group_d", "share_of_selection"), 171: ("Subregion", "subregion_options"),
-    172: ("population_coverage_blank", "coverage_population"),
+    172: ("coverage_rate", "coverage_latest"), 173: ("title", "dashboard_title"),
     176: ("persons_to_verify", "quality_categories"), 177: ("persons_excluded", "quality_categories"),
     181: ("valid_rank", "rank_quality"), 184: ("office_rank", "rank_quality"),
     187: ("coordinator_rank", "rank_quality"), 188: ("bar_label_by_group", "labels_and_titles"),

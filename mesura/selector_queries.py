@@ -18,7 +18,7 @@ from mesura.plans.evaluate import evaluate, rounded
 from mesura.plans.measures import BASES, EVENT_NAMES, EVENTS, EXPENSES, MEASURES, head
 from mesura.sources.survey import fact
 from mesura.sqlfact import lit, with_fact
-from mesura.sqlmeasures import DW, SQL, cnt, sdiv
+from mesura.sqlmeasures import DW, SQL, cnt
 
 KEYS = ["anio", "Subregion"]
 

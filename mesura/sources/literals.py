@@ -46,3 +46,14 @@ def housing_indicator_dim(spark):
 
 def one_column(spark, rows, name):
     return _df(spark, [(r,) for r in rows], (name, T.StringType()))
+
+
+def parameter_tables(spark: SparkSession) -> dict[str, DataFrame]:
+    """All literal dimension and parameter tables of the model by name."""
+    return {
+        "state": state_dim(spark), "mark": mark_dim(spark), "age_band": age_band_dim(spark), "indicator": indicator_dim(spark),
+        "household_indicator": household_indicator_dim(spark), "housing_category": housing_category_dim(spark),
+        "housing_indicator": housing_indicator_dim(spark), "housing_type": one_column(spark, S.HOUSING_TYPE_ROWS, "Tipo"),
+        "event": one_column(spark, S.EVENT_ROWS, "Evento"), "deprivation": one_column(spark, S.DEPRIVATION_ROWS, "Privacion"),
+        "sanitary_block": one_column(spark, S.SANITARY_BLOCK_ROWS, "Bloque"), "level": one_column(spark, S.LEVEL_ROWS, "Nivel"),
+    }

@@ -103,3 +103,13 @@ def test_relationships(spark):
     assert rows(joined, "estado", "Categoria_Macro") == [("0", "Válido"), ("50", "Verificación"), ("x", None), (None, None)]
     with pytest.raises(KeyError):
         star.with_dimension(population, "population", "state", dims["state"], ["Categoria_Macro"])
+
+
+def test_parameter_tables(spark):
+    from mesura.sources.literals import parameter_tables
+    tables = parameter_tables(spark)
+    assert {k: t.count() for k, t in tables.items()} == {
+        "state": len(S.STATE_ROWS), "mark": 4, "age_band": 17, "indicator": 15, "household_indicator": len(S.HOUSEHOLD_INDICATOR_ROWS),
+        "housing_category": len(S.HOUSING_CATEGORY_ROWS), "housing_indicator": len(S.HOUSING_INDICATOR_ROWS), "housing_type": 3, "event": 6,
+        "deprivation": 5, "sanitary_block": 4, "level": 2}
+    assert {r["Tipo"] for r in tables["household_indicator"].collect()} == {"Condiciones", "Gasto"}
