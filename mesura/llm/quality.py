@@ -165,13 +165,12 @@ def judged(docs: DataFrame, p: Params = Params()) -> DataFrame:
     failed = (F.col("n_words") < p.min_words) | (100 * F.col("n_repeat_words") > p.repeat_percent * F.col("n_words"))
     measures = shared_table(spark, measures.withColumn("base_failed", failed), "measures")
     bands = shared_table(spark, fences(measures.filter("not base_failed"), p), "bands")
-    own = bands.filter((F.col("n") >= p.least) & (F.col("grp") != "*"))
-    common = bands.filter("grp = '*'").select(*(F.col(c).alias("all_" + c) for c in bands.columns if c not in ("grp", "n")))
-    bound = lambda c: F.coalesce(F.col(c), F.col("all_" + c))
-    inside = ((F.col("chars_per_token") >= bound("low_0")) & (F.col("chars_per_token") <= bound("high_0"))
-              & (F.col("byte_share") <= bound("high_1")) & (F.col("entropy_share") >= bound("low_2")))
-    # one row with the bands of all documents; none, if no document passed
-    joined = measures.join(own.drop("n"), "grp", "left").join(F.broadcast(common), F.lit(True), "left")
+    # small groups take the bands of all documents; this table has a row for each language
+    everyone = lambda c: F.max(F.when(F.col("grp") == "*", F.col(c))).over(Window.partitionBy(F.lit(0)))
+    bands = bands.select("grp", *(F.when(F.col("n") >= p.least, F.col(c)).otherwise(everyone(c)).alias(c) for c in bands.columns if c not in ("grp", "n")))
+    inside = ((F.col("chars_per_token") >= F.col("low_0")) & (F.col("chars_per_token") <= F.col("high_0"))
+              & (F.col("byte_share") <= F.col("high_1")) & (F.col("entropy_share") >= F.col("low_2")))
+    joined = measures.join(bands, "grp", "left")
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          (~F.col("base_failed") & F.coalesce(inside, F.lit(True))).alias("kept"), *_MEASURES)
 
