@@ -443,8 +443,11 @@ def training_set(pages: list[str], p: Params) -> tuple[list[list[Block]], list[n
 
 def train(pages: DataFrame, p: Params = Params(), id_col: str = "page_id", html_col: str = "html") -> Labeller:
     """The labeller of a bounded sample of ``pages``."""
-    rows = (pages.select(F.col(id_col).cast("long").alias("id"), F.col(html_col).cast("string").alias("html"))
-            .filter((F.length("html") > 0) & (F.length("html") <= p.page_chars)).orderBy(F.xxhash64("id"), "id", "html").limit(p.pages).collect())
+    fit = (pages.select(F.col(id_col).cast("long").alias("id"), F.col(html_col).cast("string").alias("html"))
+           .filter((F.length("html") > 0) & (F.length("html") <= p.page_chars)))
+    # chosen by narrow rows: what tasks send to the driver does not grow with their number times a page
+    chosen = fit.select("id").filter("id is not null").distinct().orderBy(F.xxhash64("id"), "id").limit(p.pages)
+    rows = fit.join(F.broadcast(chosen), "id").orderBy(F.xxhash64("id"), "id", "html").limit(p.pages).collect()
     labeller = Labeller(p)
     labeller.fit(*training_set([r["html"] for r in rows], p), Features(p))
     return labeller
