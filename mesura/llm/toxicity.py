@@ -50,8 +50,8 @@ class Params:
     feature enters the lexicon, ``weak`` that for toxic texts nothing else
     explains; beginnings have ``prefix`` letters at least."""
 
-    toxic_rows: int = 1500
-    clean_rows: int = 6000
+    toxic_rows: int = 1200
+    clean_rows: int = 4800
     evidence: float = 16.0
     weak: float = 6.0
     prefix: int = 4
@@ -276,13 +276,12 @@ def fit_lexicon(lm: np.ndarray, rows: list[tuple[set[str], int, tuple[int, ...]]
     if not toxic or not clean:
         known = math.inf if toxic else -math.inf  # one class, or none
         return Model(lm, {}, known)
-    group = _copies([x for _, y, x in rows if y])
-    copies, n1 = len(set(group)), Counter()
-    by_group: dict[int, set[str]] = defaultdict(set)
-    for g, words in zip(group, toxic):
-        by_group[g] |= _features(words, p.prefix)
-    for f in by_group.values():
-        n1.update(f)
+    groups: dict[int, set[str]] = defaultdict(set)
+    for g, words in zip(_copies([x for _, y, x in rows if y]), toxic):
+        groups[g] |= words
+    copies, n1 = len(groups), Counter()
+    for words in groups.values():  # features are made on the way, not kept
+        n1.update(_features(words, p.prefix))
     n1 = Counter({f: n for f, n in n1.items() if n >= 2})
     n0 = Counter(f for words in clean for f in _features(words, p.prefix) if f in n1)
     prior = copies / (copies + len(clean))
@@ -303,14 +302,15 @@ def fit_lexicon(lm: np.ndarray, rows: list[tuple[set[str], int, tuple[int, ...]]
         stem = f.rstrip("$")
         if closed[f] >= p.evidence and not any(stem[:k] in chosen for k in range(p.prefix, len(stem) + 1)):
             chosen[f] = None
-    left = [g for g, f in by_group.items() if not any(c in f for c in chosen)]
+    covers = lambda words: any(f in chosen for f in _features(words, p.prefix))
+    left = [words for words in groups.values() if not covers(words)]
     while left:
-        gain = Counter(f for g in left for f in by_group[g] if f in closed and f not in chosen)
+        gain = Counter(f for words in left for f in _features(words, p.prefix) if f in closed and f not in chosen)
         best = max(gain, key=lambda f: (gain[f], closed[f], f), default=None)
         if best is None or gain[best] < 2:
             break
         chosen[best] = None
-        left = [g for g in left if best not in by_group[g]]
+        left = [words for words in left if best not in _features(words, p.prefix)]
     weights = {f: math.log((n1[f] + 0.5) / (copies + 1)) - math.log((n0[f] + 0.5) / (len(clean) + 1)) for f in chosen}
     model = Model(lm, weights)
     x = np.array([(1.0, *model.measures({h for w in words for h in model.hits(w)})) for words, _, _ in rows])
