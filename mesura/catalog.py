@@ -16,7 +16,7 @@ from mesura.plans.analytics import dense_rank_of, pareto, q
 from mesura.plans.evaluate import evaluate, rounded
 from mesura.sources.survey import fact
 from mesura.sqlfact import with_fact
-from mesura.sqlmeasures import cnt, MPI, sdiv, sdiv0
+from mesura.sqlmeasures import MPI, cnt, sdiv, sdiv0
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}

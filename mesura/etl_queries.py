@@ -514,8 +514,8 @@ def sex_age_pyramid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signed counts by age band, with the band order of the age dimension."""
     agg = evaluate(fact(spark, sf_dir), ["Rango_Edad"], ["men_negative", "women", "men_pyramid"])
     dim = age_band_dim(spark)
-    return agg.join(dim, "Rango_Edad", "left").select("Rango_Edad", q("Orden").cast("long").alias("Orden"),
-                                                      "men_negative", "women", "men_pyramid")
+    return (agg.join(dim, "Rango_Edad", "left").select("Rango_Edad", q("Orden").cast("long").alias("Orden"),
+                                                       "men_negative", "women", "men_pyramid").orderBy("Orden"))
 
 
 register("sex_age_pyramid", with_fact(f"""
