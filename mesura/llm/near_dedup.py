@@ -12,13 +12,15 @@ have the wanted similarity goes, the rest is confirmed on the full sets.
 
 Scale. Documents with equal sets are one class (its least id stands for it),
 so copies never meet in pairs. In a band bucket every member is first
-compared with one pivot only, the member that shares most buckets with
-others; members that are still in
-another component are then taken as further pivots, a few more in each round,
-until no bucket holds two uncompared members of different components. A group
-of s near copies costs about s comparisons, not s squared, and no link
-between different components is lost. Components are found by alternating
-large-star and small-star contraction over DataFrames. Nothing is collected.
+compared with the bucket's least member, the pivot: a group of s near copies
+costs s comparisons a band at most, not s squared. Members that are then
+still apart from the pivot's component are compared, on the full sets, with
+all of that component and with each other; members of one component are not
+compared. So of two members of a bucket that end in different components at
+least one was apart and has met the other: no link between components is
+lost. These comparisons run in blocks of bounded size, many blocks a task, and
+only links leave a block. Components are found by alternating large-star and
+small-star contraction over DataFrames. Nothing is collected.
 """
 
 from __future__ import annotations
@@ -37,43 +39,74 @@ from mesura.llm.common import mix64, read_table, register, shared_table
 
 @dataclass(frozen=True)
 class Params:
-    """``bands`` x ``rows`` registers; at similarity 0.8 a linked pair shares
-    no band with probability (1 - 0.8**5)**48, about 5e-9. ``base`` and
+    """``groupings`` times the registers are dealt to bands of ``rows``, each
+    time in another order. At similarity 0.8 a pair shares no band of the
+    default 100 with a probability of about 4e-7 (2e-9 at 0.82). ``base`` and
     ``q`` are the spacing and the truncation of the registers, ``rate`` the
     rate of the exponential variates. ``odds`` is the log-likelihood ratio
     against the threshold at which a candidate is given up unread."""
 
     threshold: float = 0.8
-    bands: int = 48
-    rows: int = 5
+    registers: int = 400
+    rows: int = 8
+    groupings: int = 2
     base: float = 1.001
     q: int = 65534
     rate: float = 20.0
     odds: float = 20.0
     seed: int = 20240817
 
+    @property
+    def bands(self) -> int:
+        return self.groupings * (self.registers // self.rows)
 
-class _WordHashes(dict):
-    """64-bit hash of a word, kept for repeated words up to a bound."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+_ODD = 0x9E3779B97F4A7C15 | 1
+_TABLES: list[np.ndarray] = []
 
 
-def shingle_set(text: str | None, hashes: _WordHashes) -> np.ndarray:
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2**64 and of its inverse, n at least."""
+    if not _TABLES or len(_TABLES[0]) < n:
+        n = max(n, 1 << 16)
+        for k, x in enumerate((_ODD, pow(_ODD, -1, 1 << 64))):
+            steps = np.full(n, x, np.uint64)
+            steps[0] = 1
+            _TABLES[k:k + 1] = [np.cumprod(steps, dtype=np.uint64)]
+    return _TABLES[0], _TABLES[1]
+
+
+_VALUE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD))  # of a byte
+_VALUE[65:91] = _VALUE[97:123]  # A-Z as a-z
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_VALUE[_BLANK] = 0
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """64-bit hashes of the words between ASCII white space, in order: each a
+    polynomial of its bytes, from one running sum over the text."""
+    b = np.frombuffer(data, np.uint8)
+    blank = _BLANK[b]
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).view(np.int8)))
+    start, end = edge[::2], edge[1::2]
+    if not len(start):
+        return np.empty(0, np.uint64)
+    powers, inverse = _powers(len(b))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUE[b] * powers[:len(b)], dtype=np.uint64)])
+    return mix64((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+
+
+def shingle_set(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the two-word shingles of ``text``: A-Z
     lower-cased, words between ASCII white space. One word: that word alone;
     none, or a null text: empty."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    if len(h) == 1:
+    h = word_hashes((text or "").encode())
+    if len(h) < 2:
         return mix64(h ^ np.uint64(0x5851F42D4C957F2D))
-    return np.unique(mix64(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + (h[1:] ^ (h[1:] >> np.uint64(29)))))
+    g = mix64(h[:-1] * np.uint64(_ODD) + (h[1:] ^ (h[1:] >> np.uint64(29))))
+    g.sort()
+    return g[np.concatenate([[True], g[1:] != g[:-1]])]
 
 
 class SetSketch:
@@ -81,15 +114,17 @@ class SetSketch:
 
     def __init__(self, p: Params):
         rng = np.random.default_rng(p.seed)
-        self.p, self.m = p, p.bands * p.rows
+        self.p, self.m = p, p.registers
         self.mul = rng.integers(0, 1 << 31, self.m).astype(np.uint32) * np.uint32(2) + np.uint32(1)
         self.add = rng.integers(0, 1 << 32, self.m, dtype=np.uint64).astype(np.uint32)
+        whole = self.m // p.rows * p.rows
+        self.order = np.concatenate([np.arange(whole) if k == 0 else rng.permutation(self.m)[:whole] for k in range(p.groupings)])
 
     def registers(self, s: np.ndarray) -> np.ndarray:
         least = np.full(self.m, 0xFFFFFFFF, np.uint32)
         s32 = (s >> np.uint64(32)).astype(np.uint32)
-        for k in range(0, len(s32), 4096):
-            x = np.multiply.outer(self.mul, s32[k:k + 4096])
+        for k in range(0, len(s32), 512):  # blocks that stay in the cache
+            x = np.multiply.outer(self.mul, s32[k:k + 512])
             x += self.add[:, None]
             np.minimum(least, x.min(axis=1), out=least)
         h = -np.log1p(-(least + 0.5) / 2.0 ** 32) / self.p.rate
@@ -101,7 +136,7 @@ class SetSketch:
 
     def band_keys(self, registers: np.ndarray) -> np.ndarray:
         """One 64-bit key a band for rows of registers (n x m)."""
-        x = registers.reshape(len(registers), self.p.bands, self.p.rows).astype(np.uint64)
+        x = registers[:, self.order].reshape(len(registers), self.p.bands, self.p.rows).astype(np.uint64)
         key = np.broadcast_to(np.arange(1, self.p.bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), x.shape[:2])
         for j in range(self.p.rows):
             key = mix64(key + x[:, :, j] + np.uint64(1))
@@ -135,11 +170,11 @@ def similarity(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, bas
 
 def _sketches(p: Params):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, hashes = SetSketch(p), _WordHashes()
+        sketch = SetSketch(p)
         for batch in batches:
             n, f1, f2, regs = [], [], [], []
             for t in batch.column(1):
-                s = shingle_set(t.as_py(), hashes)
+                s = shingle_set(t.as_py())
                 d = xxhash.xxh3_128_intdigest(s.tobytes())
                 n.append(len(s))
                 f1.append((d >> 64) - (1 << 63))
@@ -167,7 +202,7 @@ def _bands(p: Params):
 def _likely(p: Params):
     """Pairs that the likelihood does not rule out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = p.bands * p.rows
+        m = p.registers
         for batch in batches:
             keep = []
             for k in range(0, batch.num_rows, 2000):
@@ -185,21 +220,98 @@ def _likely(p: Params):
 
 def _confirm(p: Params):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, last = _WordHashes(), (None, None)
+        last: tuple = (None, None)
         percent = round(100 * p.threshold)
         for batch in batches:
             keep = []
             for ta, tb in zip(batch.column(2), batch.column(3)):
                 tb = tb.as_py()
                 if last[0] != tb:
-                    last = (tb, shingle_set(tb, hashes))
-                x, y = shingle_set(ta.as_py(), hashes), last[1]
+                    last = (tb, shingle_set(tb))
+                x, y = shingle_set(ta.as_py()), last[1]
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
+def _blocks(p: Params):
+    """Links between the rows of ``left`` and ``right`` of each block, exact."""
+    percent = round(100 * p.threshold)
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out_a, out_b = [], []
+        names = ("main", "i", "j")
+        own, other = (list(zip(*(t[c].to_pylist() for c in names))) for t in (left, right))
+        rows: dict[tuple, tuple[list[int], list[int]]] = {}
+        for k, key in enumerate(own):
+            rows.setdefault(key, ([], []))[0].append(k)
+        for k, key in enumerate(other):
+            if key in rows:
+                rows[key][1].append(k)
+        xs, xc, yd, yc = (t[c].to_numpy() for t, c in ((left, "id"), (left, "comp"), (right, "id"), (right, "comp")))
+        for of_x, of_y in rows.values():
+            if not of_y:
+                continue
+            sets = [shingle_set(right["text"][k].as_py()) for k in of_y]
+            size = np.array([len(x) for x in sets])
+            signs, place = np.unique(np.concatenate(sets), return_inverse=True)
+            starts = np.cumsum(size) - size
+            ids, comp = yd[of_y], yc[of_y]
+            for k in of_x:
+                x = shingle_set(left["text"][k].as_py())
+                at = np.searchsorted(signs, x)
+                at = at[(at < len(signs)) & (signs[np.minimum(at, len(signs) - 1)] == x)]
+                mark = np.zeros(len(signs), np.int64)
+                mark[at] = 1
+                both = np.add.reduceat(mark[place], starts)
+                near = ids[(100 * both >= percent * (len(x) + size - both)) & (comp != xc[k])]
+                out_a.append(np.maximum(near, xs[k]))
+                out_b.append(np.minimum(near, xs[k]))
+        if not out_a:
+            return schema.empty_table()
+        return pa.table([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], schema=schema)
+    return run
+
+
+def _apart(spark: SparkSession, members: DataFrame, comps: DataFrame, texts: DataFrame, p: Params, block: int = 1000) -> DataFrame:
+    """Links of the members that are apart from the component of their
+    bucket's pivot, with that component and with each other, written."""
+    state = members.join(comps, "id", "left").select("bucket", "id", "pivot", F.coalesce("comp", "id").alias("comp"))
+    of_pivot = state.filter("id = pivot").select("bucket", F.col("comp").alias("main"))
+    apart = state.join(of_pivot, "bucket").filter("comp != main")
+    many = apart.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    # a lone member apart from a lone pivot has met it already
+    grown = comps.select(F.col("comp").alias("main"), F.lit(True).alias("grown")).distinct()
+    near = (apart.join(many, "bucket").join(grown, "main", "left").filter("n > 1 or grown")
+            .select("main", "id", "comp").distinct())
+    near = shared_table(spark, near, "apart")
+    mains = near.groupBy("main").agg(F.count(F.lit(1)).alias("nx"))
+    rest = comps.join(mains.select(F.col("main").alias("comp")), "comp", "left_semi").select(F.col("comp").alias("main"), "id", "comp")
+    right = shared_table(spark, near.union(rest), "near")
+    sizes = right.groupBy("main").agg(F.count(F.lit(1)).alias("ny")).join(mains, "main")
+    cut = lambda c: F.ceil(F.col(c) / block).cast("int")
+    dealt = lambda df, seed: df.join(sizes, "main").withColumn("own", F.xxhash64("id", F.lit(seed)))
+    whole = lambda c: F.explode(F.sequence(F.lit(0), cut(c) - 1))
+    # so many that a task's share of both sides is some blocks, whatever the largest component
+    dealt_rows = sizes.agg(F.sum(F.col("nx") * cut("ny") + F.col("ny") * cut("nx"))).first()[0] or 0
+    bundles = max(1, dealt_rows // (2 * block))
+    bundle = F.pmod(F.xxhash64("main", "i", "j"), F.lit(bundles)).alias("bundle")
+    x = dealt(near, 1).select("main", "id", "comp", F.pmod("own", cut("nx")).cast("int").alias("i"), whole("ny").alias("j"))
+    y = dealt(right, 2).select("main", "id", "comp", F.pmod("own", cut("ny")).cast("int").alias("j"), whole("nx").alias("i"))
+    told = lambda df: df.join(texts, "id").select(bundle, "main", "i", "j", "id", "comp", "text")
+    # both sides of a cogroup must not share columns
+    renamed = told(y).select(*(F.col(c).alias(c + "_") for c in ("bundle", "main", "i", "j", "id", "comp", "text")))
+    run = _blocks(p)
+
+    def links(left: pa.Table, right: pa.Table) -> pa.Table:
+        return run(left, right.rename_columns([c.removesuffix("_") for c in right.column_names]))
+
+    found = told(x).groupBy("bundle").cogroup(renamed.groupBy("bundle_")).applyInArrow(links, "a long, b long")
+    return shared_table(spark, found.distinct(), "links")
+
+
 def connected(spark: SparkSession, links: DataFrame, name: str = "stars") -> DataFrame:
     """Components of links (a, b): rows (id, comp) with the least id of each
     node's component, by alternating large-star and small-star contraction.
@@ -249,40 +361,19 @@ def near_duplicates(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id
     reps = full.join(classes.select(F.col("rep").alias("id"), "f1", "f2"), ["id", "f1", "f2"], "left_semi").select("id", "n", "regs")
 
     keys = reps.select("id", "regs").mapInArrow(_bands(p), "bucket long, id long")
-    shared = keys.groupBy("bucket").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count(F.lit(1)).alias("size")).filter("x != y").select("bucket", "size")
+    shared = (keys.groupBy("bucket").agg(F.min("id").alias("pivot"), F.max("id").alias("last"), F.count(F.lit(1)).alias("size"))
+              .filter("last != pivot").select("bucket", "pivot", "size"))
     members = shared_table(spark, keys.join(shared, "bucket"), "buckets")
     # sketches and texts of the members alone: what later rounds read
-    involved = members.groupBy("id").agg(F.sum("size").alias("weight"))
-    reps = shared_table(spark, reps.join(involved, "id"), "reps")
+    involved = members.select("id").distinct()
+    reps = shared_table(spark, reps.join(involved, "id", "left_semi"), "reps")
     texts = shared_table(spark, rows.join(involved, "id", "left_semi"), "texts")
 
-    # the member that shares most buckets with others is nearest to the middle of its group: the first pivot
-    weighed = members.join(reps.select("id", "weight").distinct(), "id").select("bucket", "id", "weight")
-    pivots = weighed.groupBy("bucket").agg(F.max(F.struct("weight", "id")).alias("top")).select("bucket", F.col("top.id").alias("pivot"))
-    members = shared_table(spark, weighed.join(pivots, "bucket"), "members")
-    pairs = members.filter("id != pivot").select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct()
+    pairs = members.filter("id != pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     links = _links(spark, pairs, reps, texts, p, "links")
-    tried = members.select("bucket", F.col("pivot").alias("id")).distinct()
-    most = 2
-    while True:
-        comps = connected(spark, links)
-        state = (members.select("bucket", "id", "weight").join(tried.withColumn("was", F.lit(True)), ["bucket", "id"], "left")
-                 .join(comps, "id", "left").select("bucket", "id", "weight", F.coalesce("comp", "id").alias("comp"), F.col("was").isNotNull().alias("was")))
-        # a bucket is open while two members that were no pivots lie in different components
-        fresh = state.filter("not was").groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
-        wide = fresh.groupBy("bucket").agg(F.max(F.struct("n", (-F.col("comp")).alias("c"))).alias("top"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
-        state = shared_table(spark, state.join(wide.select("bucket", (-F.col("top.c")).alias("main")), "bucket"), "open")
-        rest = state.filter("not was and comp != main")
-        if rest.isEmpty():
-            break
-        turn = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("weight"), "id"))
-        pivots = shared_table(spark, rest.withColumn("turn", turn).filter(F.col("turn") <= most).select("bucket", F.col("id").alias("pivot"), F.col("comp").alias("pivot_comp")), "pivots")
-        more = (state.join(pivots, "bucket").filter("comp != pivot_comp")
-                .select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct())
-        found = _links(spark, more, reps, texts, p, "links")
-        links = links.union(found)
-        tried = tried.union(pivots.select("bucket", F.col("pivot").alias("id"))).distinct()
-        most *= 4
+    comps = connected(spark, links)
+    links = links.union(_apart(spark, members, comps, texts, p))
+    comps = connected(spark, links)
 
     # a class is reached through its least id; an id with several texts links their classes
     if_many = full.join(classes, ["f1", "f2"]).filter("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))

@@ -89,7 +89,7 @@ def test_empty_table(spark):
 
 @pytest.mark.parametrize("share", [0.5, 0.8, 0.95])
 def test_registers_estimate_similarity_and_merge(share):
-    p = N.Params(bands=200)
+    p = N.Params(registers=2000)
     sketch, rng = N.SetSketch(p), np.random.default_rng(5)
     both, rest = int(2000 * share), 2000 - int(2000 * share)
     x = rng.integers(0, 1 << 63, 2000 + rest, dtype=np.uint64)
