@@ -296,11 +296,12 @@ def fit_lexicon(lm: np.ndarray, rows: list[tuple[set[str], int, tuple[int, ...]]
     # closed: no longer form covers as much
     longer = {(f[:-1], n1[f], n0[f]) for f in scored}
     closed = {f: r for f, r in scored.items() if (f, n1[f], n0[f]) not in longer or f.endswith("$")}
-    # of a beginning and its longer forms the beginning, where it is as pure
+    # of a beginning and its longer forms the beginning; a longer form too, where it is purer
     chosen: dict[str, None] = {}
     for f in sorted(closed, key=lambda f: (len(f), f)):
         stem = f.rstrip("$")
-        if closed[f] >= p.evidence and not any(stem[:k] in chosen for k in range(p.prefix, len(stem) + 1)):
+        parts = [stem[:k] for k in range(p.prefix, len(stem) + 1) if stem[:k] in chosen]
+        if closed[f] >= p.evidence and not any(n0[x] * n1[f] <= n0[f] * n1[x] for x in parts):
             chosen[f] = None
     covers = lambda words: any(f in chosen for f in _features(words, p.prefix))
     left = [words for words in groups.values() if not covers(words)]
