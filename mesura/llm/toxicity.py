@@ -162,7 +162,7 @@ class Model:
                     found += tuple(w for w in re.findall(r"[^\W\d_]+", core) if w not in found)
                 elif len(core) > 64:
                     found = tuple(re.findall(r"[^\W\d_]+", core))
-            if len(self.kept) > 200_000:
+            if len(self.kept) > 100_000:
                 self.kept.clear()
             self.kept[chunk] = found
         return found
@@ -196,7 +196,7 @@ class Model:
             got = self.sums.get(c)
             if got is None:
                 got = tuple(dict.fromkeys(h for w in self.words(c) for h in self.hits(w)))
-                if len(self.sums) > 300_000:
+                if len(self.sums) > 150_000:
                     self.sums.clear()
                 self.sums[c] = got
             if got:
