@@ -32,10 +32,12 @@ UNKNOWN = "und"
 class Params:
     """``length``: n-grams of a profile. ``rows``: labelled rows a language
     that the profiles are counted on, chosen by a hash of the id (expected
-    number; all, if fewer)."""
+    number; all, if fewer). ``languages`` bounds the model: of more values of
+    lang the most frequent are learned."""
 
     length: int = 400
     rows: int = 4000
+    languages: int = 1000
 
 
 _LETTER: list[np.ndarray] = []
@@ -97,7 +99,7 @@ class Profiles:
 def fit(docs: DataFrame, p: Params = Params(), text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Profiles:
     """Profiles of the non-null languages of ``docs``."""
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).filter("lang is not null")
-    known = rows.groupBy("lang").count()
+    known = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(p.languages)
     share = F.lit(2.0 ** 62) * 2 * F.least(F.lit(1.0), F.lit(float(p.rows)) / F.col("count"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +112,7 @@ def fit(docs: DataFrame, p: Params = Params(), text_col: str = "text", lang_col:
         for lang, own in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own), pa.string()), pa.array(own.keys(), pa.int64()), pa.array(own.values(), pa.int64())], names=["lang", "g", "n"])
 
-    # one row a language: as small as the profiles themselves
+    # at most Params.languages rows
     sample = (rows.join(F.broadcast(known), "lang").filter(F.abs(F.xxhash64("id", F.lit(7))).cast("double") <= share).select("lang", "text"))
     summed = sample.mapInArrow(count, "lang string, g long, n long").groupBy("lang", "g").agg(F.sum("n").alias("n"))
     order = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "g"))
