@@ -7,16 +7,20 @@ by support and confidence and where a shorter rule is as sure; the rest match
 by an inverted index from token to rules and judge the URLs that no listed
 rule fits.
 
-Scale. Host, path and listed rules are column expressions. Tokens of the
-mining set are counted over all labelled URLs; the mining vocabulary is the
-``tokens`` most telling of them and a transaction keeps its ``width`` most
-telling ones, because the number of combinations doubles with each item of a
-common URL. FP-growth runs distributed over distinct transactions' rows. The
-mined rules are a bounded model; matching needs no shuffle.
+Scale. Host, path and listed rules are column expressions. Tokens are counted
+over all labelled URLs; support alone bounds the vocabulary, the transactions
+and the rules. Three kinds of tokens need no combinations, so they are settled
+by their counts: one that goes with a single verdict (nothing longer is
+surer), one that every labelled URL has (it adds nothing to another), and one
+that occurs in the very same URLs as another (either stands for both).
+FP-growth runs distributed over what is left, and redundant rules go before
+anything is collected. The rules kept are the model; matching needs no
+shuffle.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 from dataclasses import dataclass
@@ -34,16 +38,12 @@ RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
 
 @dataclass(frozen=True)
 class Params:
-    """``support`` (share of the labelled URLs) and ``confidence`` prune mined
-    rules; ``tokens`` and ``width`` bound the mining vocabulary and the items
-    of a transaction, ``rules`` the model. ``default`` judges URLs that nothing
+    """``support`` (share of the labelled URLs, two URLs at least) and
+    ``confidence`` prune mined rules. ``default`` judges URLs that nothing
     fits."""
 
     support: float = 0.002
     confidence: float = 0.6
-    tokens: int = 200
-    width: int = 12
-    rules: int = 5000
     default: str = "allow"
 
 
@@ -100,10 +100,11 @@ _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz
 
 class RuleIndex:
     """Mined rules by their tokens; ``rules`` are (tokens, verdict, confidence,
-    support)."""
+    support). ``same`` names the token that stands in the rules for one that
+    occurs in the same labelled URLs."""
 
-    def __init__(self, rules: list[tuple[tuple[str, ...], str, float, float]], default: str):
-        self.rules, self.default = sorted(rules, key=lambda r: (-r[2], -r[3], -len(r[0]), r[0], r[1])), default
+    def __init__(self, rules: list[tuple[tuple[str, ...], str, float, float]], default: str, same: dict[str, str] | None = None):
+        self.rules, self.default, self.same = sorted(rules, key=lambda r: (-r[2], -r[3], -len(r[0]), r[0], r[1])), default, same or {}
         self.by_token: dict[str, list[int]] = defaultdict(list)
         for k, r in enumerate(self.rules):
             for t in r[0]:
@@ -112,58 +113,78 @@ class RuleIndex:
     def match(self, tokens: list[str]) -> tuple[str, str | None, float]:
         """Verdict, the tokens of the surest rule all of whose tokens are
         there, and its confidence."""
+        said: dict[str, str] = {}
+        for t in tokens:
+            item = self.same.get(t, t)
+            said[item] = min(t, said.get(item, t))
         seen: dict[int, int] = defaultdict(int)
         best = None
-        for t in tokens:
+        for t in said:
             for k in self.by_token.get(t, ()):
+                if best is not None and k >= best:
+                    break
                 seen[k] += 1
-                if seen[k] == len(self.rules[k][0]) and (best is None or k < best):
+                if seen[k] == len(self.rules[k][0]):
                     best = k
         if best is None:
             return self.default, None, 0.0
         r = self.rules[best]
-        return r[1], " + ".join(r[0]), r[2]
+        return r[1], " + ".join(sorted(said[t] for t in r[0])), r[2]
+
+
+def pruned(rules: DataFrame) -> DataFrame:
+    """Rules (antecedent, v, c, s) that are surer than each with one token
+    less; a row is compared with as many others as it has tokens."""
+    own = rules.select("antecedent", "v", "c", F.explode("antecedent").alias("x"))
+    own = own.select("antecedent", "v", "c", F.array_remove("antecedent", F.col("x")).alias("less"))
+    as_sure = rules.select(F.col("antecedent").alias("less"), "v", F.col("c").alias("least"))
+    redundant = own.join(as_sure, ["less", "v"]).filter("least >= c").select("antecedent", "v").distinct()
+    return rules.join(redundant, ["antecedent", "v"], "left_anti").select("antecedent", "v", "c", "s")
 
 
 def mine(labelled: DataFrame, p: Params = Params()) -> RuleIndex:
-    """Rules from rows (tokens, verdict)."""
+    """Rules from rows (tokens, verdict): every one within ``support`` and
+    ``confidence`` that no shorter one with its verdict makes redundant."""
     spark = labelled.sparkSession
-    labelled = shared_table(spark, labelled.select("tokens", "verdict"), "url-tokens")
+    labelled = shared_table(spark, labelled.select("tokens", "verdict", F.monotonically_increasing_id().alias("row")), "url-tokens")
     totals = {r[0]: r[1] for r in labelled.groupBy("verdict").count().collect()}  # two verdicts
     n = sum(totals.values())
     if len(totals) < 2:
         return RuleIndex([], p.default)
-    counts = labelled.select(F.explode("tokens").alias("t"), "verdict").groupBy("t").pivot("verdict", ["allow", "block"]).count().fillna(0)
-    # information a token gives about the verdict
-    def h(a: Column, b: Column) -> Column:
-        x = a / F.greatest(a + b, F.lit(1))
-        part = lambda y: F.when((y > 0) & (y < 1), -y * F.log2(y)).otherwise(0.0)
-        return part(x) + part(1 - x)
-    a, b = F.col("allow"), F.col("block")
-    rest_a, rest_b = F.lit(totals["allow"]) - a, F.lit(totals["block"]) - b
-    gain = h(F.lit(totals["allow"]), F.lit(totals["block"])) - ((a + b) * h(a, b) + (rest_a + rest_b) * h(rest_a, rest_b)) / n
-    top = counts.filter(a + b >= max(2.0, p.support * n)).withColumn("gain", F.round(gain, 12)).orderBy(F.desc("gain"), "t").limit(p.tokens).collect()
-    order = {r["t"]: k for k, r in enumerate(top)}
-    words = [r["t"] for r in top]
-    if not words:
-        return RuleIndex([], p.default)
+    least = max(2, math.ceil(round(p.support * n, 6)))
+    # tokens in the same rows have the same two sums of row hashes
+    h = lambda seed: F.sum(F.xxhash64(F.lit(seed), "row").cast("decimal(20,0)"))
+    counts = (labelled.select(F.explode("tokens").alias("t"), "verdict", "row").groupBy("t")
+              .agg(*(F.count_if(F.col("verdict") == v).alias(v) for v in ("allow", "block")), h(1).alias("h1"), h(2).alias("h2"))
+              .filter(F.greatest("allow", "block") >= least))
+    items = (counts.groupBy("allow", "block", "h1", "h2").agg(F.min("t").alias("item"), F.collect_set("t").alias("tokens")).collect())
+    same = {t: r["item"] for r in items for t in r["tokens"] if t != r["item"]}
+    rules, mixed = [], set()
+    for r in items:
+        a = r["allow"] + r["block"]
+        if a == n or not r["allow"] or not r["block"]:
+            rules += [((r["item"],), v, round(r[v] / a, 9), round(r[v] / n, 9)) for v in ("allow", "block") if r[v] >= least and r[v] / a >= p.confidence]
+        else:
+            mixed.add(r["item"])
+    if not mixed:
+        return RuleIndex(rules, p.default, same)
+    shared = spark.sparkContext.broadcast(({t: same.get(t, t) for t in [*mixed, *same] if same.get(t, t) in mixed}))
 
     @F.pandas_udf("array<string>")
-    def items(tokens: pd.Series, verdicts: pd.Series) -> pd.Series:
-        return pd.Series([["verdict=" + v, *sorted((x for x in t if x in order), key=order.get)[:p.width]] for t, v in zip(tokens, verdicts)])
+    def baskets(tokens: pd.Series, verdicts: pd.Series) -> pd.Series:
+        item = shared.value
+        return pd.Series([["verdict=" + v, *dict.fromkeys(item[x] for x in t if x in item)] for t, v in zip(tokens, verdicts)])
 
-    baskets = labelled.select(items("tokens", "verdict").alias("items"))
-    model = FPGrowth(minSupport=max(p.support, 2.0 / n), minConfidence=p.confidence).fit(baskets)
+    model = FPGrowth(minSupport=(least - 0.5) / n, minConfidence=p.confidence).fit(labelled.select(baskets("tokens", "verdict").alias("items")))
     found = (model.associationRules.filter(F.element_at("consequent", 1).startswith("verdict=")).filter(~F.exists("antecedent", lambda x: x.startswith("verdict=")))
-             .select(F.array_sort("antecedent").alias("antecedent"), F.element_at("consequent", 1).alias("v"), F.round("confidence", 9).alias("c"), F.round("support", 9).alias("s"))
-             .orderBy(F.desc("c"), F.desc("s"), F.size("antecedent"), F.col("antecedent").cast("string"), "v").limit(p.rules).collect())
-    kept: dict[frozenset, tuple] = {}
-    for r in sorted(found, key=lambda r: (len(r["antecedent"]), r["antecedent"])):
-        own = frozenset(r["antecedent"])
-        shorter = [frozenset(own - {x}) for x in own]
-        best = max((kept[x][2] for x in shorter if x in kept and kept[x][1] == r["v"]), default=-1.0)
-        kept[own] = (tuple(r["antecedent"]), r["v"], max(r["c"], best), r["s"], r["c"] > best)
-    return RuleIndex([(k[0], k[1].removeprefix("verdict="), k[2], k[3]) for k in kept.values() if k[4]], p.default)
+             .select(F.array_sort("antecedent").alias("antecedent"), F.substring(F.element_at("consequent", 1), 9, 100).alias("v"), F.round("confidence", 9).alias("c"), F.round("support", 9).alias("s")))
+    found = pruned(shared_table(spark, found, "url-rules")).collect()
+    for v in ("allow", "block"):
+        own = [(tuple(r["antecedent"]), v, r["c"], r["s"]) for r in found if r["v"] == v]
+        index = RuleIndex(own, p.default)
+        # a rule whose own tokens lead to a surer one is redundant
+        rules += [r for r in own if index.match(list(r[0]))[1] == " + ".join(r[0])]
+    return RuleIndex(rules, p.default, same)
 
 
 def filter_urls(pages: DataFrame, rules=RULES, p: Params = Params(), id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -173,7 +194,8 @@ def filter_urls(pages: DataFrame, rules=RULES, p: Params = Params(), id_col: str
     A null url, or one without ``://``, has an empty host and path, no rule
     and no tokens, and takes the default verdict. Rows that repeat an id are
     judged each for itself. Equal confidence goes to the larger support, then
-    the longer and the first rule in order. Other columns are not read. An
+    the longer and the first rule in order. Of tokens that occur in the same
+    labelled URLs a rule names the first that the URL has. Other columns are not read. An
     empty table gives an empty result.
     """
     @F.pandas_udf("array<string>")
@@ -185,7 +207,7 @@ def filter_urls(pages: DataFrame, rules=RULES, p: Params = Params(), id_col: str
     rows = rows.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), tokens(url).alias("tokens"))
     rows = shared_table(pages.sparkSession, rows.withColumn("listed", listed(F.col("host"), F.col("path"), rules)), "urls")
     index = mine(rows.filter("listed is not null").select("tokens", F.col("listed.verdict").alias("verdict")), p)
-    shared = pages.sparkSession.sparkContext.broadcast(index)  # Params.rules rules at most
+    shared = pages.sparkSession.sparkContext.broadcast(index)  # rules bounded by Params.support
 
     @F.pandas_udf("verdict string, mined string, confidence double")
     def judge(tokens: pd.Series) -> pd.DataFrame:

@@ -73,3 +73,42 @@ def test_empty_and_unlabelled_tables(spark):
     got = U.filter_urls(spark.createDataFrame([(1, "http://a.net/x"), (2, None)], schema)).collect()
     assert [(r["rule"], r["verdict"]) for r in got] == [(None, "allow")] * 2
     assert U.filter_urls(spark.createDataFrame([(1, "http://a.org/x")] * 3, schema)).filter(F.col("verdict") == "allow").count() == 3
+
+
+def test_less_sure_rules_survive_many_redundant_ones(spark):
+    rng = random.Random(5)
+    parts = [f"p{chr(97 + k)}" for k in range(14)]
+    data = ["http://a.org/" + "/".join(x for x in parts if rng.random() < 0.9) for _ in range(400)]
+    data += [f"http://a.com/{'de' if k % 5 else 'fr'}/x.html" for k in range(50)] + ["ftp://b.net/y.html"]
+    df = spark.createDataFrame(list(enumerate(data)), "page_id long, url string")
+    (got,) = U.filter_urls(df).filter(F.col("rule").isNull()).collect()
+    assert (got["verdict"], got["mined"], round(got["confidence"], 9)) == ("block", "ending:html", 0.8)
+
+
+def test_mined_rules_equal_brute_force(spark):
+    rng = random.Random(9)
+    names = list("abcdefgh")
+    rows = []
+    for _ in range(120):
+        t = [x for x in names if rng.random() < 0.5] + ["every"]
+        t += ["twin"] if "a" in t else []
+        rows.append((t, "block" if ("b" in t and "c" in t) or rng.random() < 0.3 else "allow"))
+    rows += [(["every", "pure", *rng.sample(names[1:], 3)], "allow") for _ in range(20)]
+    p = U.Params(support=0.03, confidence=0.6)
+    index, n, rules = U.mine(spark.createDataFrame(rows, "tokens array<string>, verdict string"), p), len(rows), {}
+    tokens = [*names, "every", "twin", "pure"]
+    for k in range(1, 1 << len(tokens)):
+        own = frozenset(t for j, t in enumerate(tokens) if k >> j & 1)
+        fit = [v for t, v in rows if own <= set(t)]
+        for v in ("allow", "block"):
+            if fit.count(v) >= p.support * n and fit.count(v) / len(fit) >= p.confidence:
+                rules[own, v] = (round(fit.count(v) / len(fit), 9), round(fit.count(v) / n, 9))
+    shortest = {(own, v) for (own, v), (c, _) in rules.items() if not any(o < own and w == v and d >= c for (o, w), (d, _) in rules.items())}
+    named = {(frozenset(r[0]), r[1]) for r in index.rules}
+    assert {(own - {"twin"} | ({"a"} if "twin" in own else set()), v) for own, v in shortest} == named
+    for _ in range(300):
+        own = [t for t in tokens if rng.random() < 0.4]
+        fits = [(c, s, v) for (o, v), (c, s) in rules.items() if o <= set(own)]
+        best = max(fits, key=lambda x: x[:2], default=(0.0, 0.0, p.default))
+        got = index.match(own)
+        assert got[2] == best[0] and got[0] in {v for c, s, v in fits if (c, s) == best[:2]} | ({p.default} if not fits else set())
