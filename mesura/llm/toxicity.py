@@ -4,7 +4,9 @@ A disguised word ("1d10t", "i d i o t", "id*iot", "idiooot") is a path through
 a character lattice: a figure or sign stands for a letter, a separator for
 nothing or for a word's end, a run of a letter for one or two of it. Viterbi
 decoding under a character trigram model of the corpus picks the path; the
-restored text is scored.
+restored text is scored. Runs of any length are decoded, and so are tokens
+without a letter ("455") and words of two spaced signs or more; what that makes
+of plain numbers counts against a lexicon entry where clean texts have it too.
 
 The trigram model counts all documents (28 symbols cubed, summed before any
 shuffle). The lexicon is fitted on a bounded sample of labelled rows: words
@@ -16,6 +18,7 @@ logistic sum of the weights of its lexicon hits.
 from __future__ import annotations
 
 import math
+import os
 import re
 import unicodedata
 from collections import Counter, defaultdict
@@ -37,10 +40,12 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
 SEPARATORS = " \t.,-_*~/\\'`^#%&:;="
 EDGE = "\"'()[]{}<>.,;:!?*#%&$|=~_-…«»“”‘’„¿¡"
 SYMBOLS = 28  # word end, a to z, any other letter
+KEPT = 64  # longer runs are seldom met again: decoded each time, not remembered
 
 _COST = {"letter": 0.0, "sign": -1.0, "drop": -0.7, "end": -2.5, "run": -0.5}
-_SPACED = re.compile(r"(?<!\S)\S([ \t._*-])\S(?:\1\S){2,}(?![^\s.,;:!?])")
+_SPACED = re.compile(r"(?<!\S)\S([ \t._*-])\S(?:\1\S)*(?![^\s.,;:!?])")
 _RUN = re.compile(r"(.)\1{2,}")
+_PLAIN = re.compile(r"(?:([^\W\d_])(?!\1))+")
 
 
 @dataclass(frozen=True)
@@ -110,11 +115,26 @@ class Model:
 
     def decode(self, token: str, spaced: bool = False) -> tuple[str, ...]:
         """Words of the most likely path through the token's lattice. In a
-        ``spaced`` token a separator stands between any two signs."""
+        ``spaced`` token a separator stands between any two signs. Time is
+        linear in the token: what all paths share is put aside."""
         # edges by position: (end, emitted text, log-probability of the channel)
         states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        i = 0
+        shared: list[str] = []
+        i, check = 0, 256
         while i < len(token):
+            if i >= check:
+                head = os.path.commonprefix([said for _, said in states.values()])
+                shared.append(head)
+                states = {k: (s, said[len(head):]) for k, (s, said) in states.items()}
+                check = i + 256 + max(len(said) for _, said in states.values())
+            if len(states) == 1 and (m := _PLAIN.match(token, i)) and m.end() - i > 2 and m[0].isalpha():
+                # one path in, one letter a sign: one path out, whatever its score
+                a, b = _symbol(m[0][-2]), _symbol(m[0][-1])
+                if a and b:
+                    ((score, said),) = states.values()
+                    shared += [said, m[0]]
+                    states, i = {(a, b): (score, "")}, m.end()
+                    continue
             c = token[i]
             j = i + 1
             while j < len(token) and token[j] == c:
@@ -141,7 +161,7 @@ class Model:
             states = reached
             i = j
         _, said = max(((s + (self.lm[a, b, 0] if b else 0.0), said) for (a, b), (s, said) in states.items()), key=lambda x: (x[0], x[1]))
-        return tuple(said.split())
+        return tuple("".join([*shared, said]).split())
 
     def words(self, chunk: str) -> tuple[str, ...]:
         """Restored words of a run of non-blank characters, lower-case."""
@@ -155,16 +175,14 @@ class Model:
                 near = (before if before in LEET else "") + core + ("$" if behind == "$" else "")
                 found = (core, *(() if near == core else self.decode(near)))
             else:
-                found = ()
-                if any(c.isalpha() for c in core) and len(core) <= 64:
-                    bare = chunk.rstrip(".,;:?\"'").lstrip("\"'(")
-                    found = tuple(dict.fromkeys(w for t in {core, bare} for w in self.decode(t)))
-                    found += tuple(w for w in re.findall(r"[^\W\d_]+", core) if w not in found)
-                elif len(core) > 64:
-                    found = tuple(re.findall(r"[^\W\d_]+", core))
-            if len(self.kept) > 100_000:
-                self.kept.clear()
-            self.kept[chunk] = found
+                bare = chunk.rstrip(".,;:?\"'").lstrip("\"'(")
+                forms = {t: None for t in (core, bare) if any(c.isalpha() or c in LEET for c in t)}
+                found = dict.fromkeys(w for t in forms for w in self.decode(t))
+                found = tuple(found | dict.fromkeys(re.findall(r"[^\W\d_]+", core)))
+            if len(chunk) <= KEPT:
+                if len(self.kept) > 100_000:
+                    self.kept.clear()
+                self.kept[chunk] = found
         return found
 
     def restored(self, text: str) -> set[str]:
@@ -176,8 +194,8 @@ class Model:
         return out
 
     def unspaced(self, span: str) -> set[str]:
-        """Words of a run of single signs; long runs in overlapping windows."""
-        return {w for k in range(0, len(span), 192) for w in self.decode(span[k:k + 256], True)}
+        """Words of a run of single signs."""
+        return set(self.decode(span, True))
 
     def hits(self, word: str) -> list[str]:
         found = [word + "$"] if word + "$" in self.weights else []
@@ -196,9 +214,10 @@ class Model:
             got = self.sums.get(c)
             if got is None:
                 got = tuple(dict.fromkeys(h for w in self.words(c) for h in self.hits(w)))
-                if len(self.sums) > 150_000:
-                    self.sums.clear()
-                self.sums[c] = got
+                if len(c) <= KEPT:
+                    if len(self.sums) > 150_000:
+                        self.sums.clear()
+                    self.sums[c] = got
             if got:
                 found.update(got)
         for m in _SPACED.finditer(text):

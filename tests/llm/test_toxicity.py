@@ -83,3 +83,23 @@ def test_near_copies_count_once(copies):
     texts = [([*one, f"extra{k}"], 1) for k in range(copies)] + [(fresh() + ["scum"], 1) for _ in range(30)] + [(fresh(), 0) for _ in range(200)]
     m = X.fit_lexicon(X.language_model({}), [(set(t), y, X.sketch(" ".join(t))) for t, y in texts], 0.1, X.Params())
     assert set(m.weights) == {"scum$"}
+
+
+def test_long_runs_letterless_tokens_and_short_spaced_words(spark, monkeypatch):
+    monkeypatch.setitem(globals(), "BAD", [*BAD, "bozo", "ass"])
+    rows, labels = corpus(random.Random(12), 600)
+    joined = lambda sign, *more: sign.join(FINE[:12] + list(more) + FINE[12:])
+    tricks = [joined("_", "m0r0n"), joined(",", "$cum"), joined("/", "l0ser"), joined("-", "s*c*u*m"), "l" + "o" * 70 + "ser", "x" * 300 + " " + "_".join(["house"] * 60 + ["m0r0n"]),
+              "8020", "455", "(8020)", "a s s", "a.s.s", "4 5 5"]
+    odd = [(1000 + k, f"the people walk {t} under a bridge") for k, t in enumerate(tricks)]
+    fine = [joined("_"), joined(","), joined("/"), joined("-"), "l" + "o" * 70 + "w", "2024 100 17 --- *** !!! |", "a b c 1 2 3 x.y", "0" * 5000, ""]
+    fine = [(2000 + k, f"the people walk {t} under a bridge") for k, t in enumerate(fine)]
+    by = {r["doc_id"]: r["predicted"] for r in X.toxic_scores(*frames(spark, rows + odd + fine, labels)).collect()}
+    assert [t for k, t in enumerate(tricks) if not by[1000 + k]] == []
+    assert [t for i, t in fine if by[i]] == []
+
+
+def test_decoding_of_a_long_run_is_that_of_its_parts():
+    n = sum(X.trigram_counts(t) for t in ["idiot said", "the little island", "list"] * 20)
+    m = X.Model(X.language_model({int(k): int(v) for k, v in enumerate(n) if v}))
+    assert m.decode(" ".join(["1d1ot"] * 3000)) == ("idiot",) * 3000 and m.decode("abc" * 20000) == ("abc" * 20000,)
