@@ -16,6 +16,7 @@ markup of one site. Everything else covers all pages; there is no shuffle.
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 import zlib
@@ -73,12 +74,15 @@ class Block:
     linked: float
 
 
-def blocks(page: str) -> list[Block]:
+def blocks(page: str, size: int = Params.paths) -> list[Block]:
     """Leaf blocks of a page in order; raw elements (scripts, styles, titles
     and so on) and comments have none. Character references are decoded, white
-    space in a block is one space."""
+    space in a block is one space. A path has the names of all open elements:
+    the innermost 64 as they stand, of those further out each once. Of outer
+    names with the same hash (to ``size``) the labeller needs one; those that
+    labels by structure know all stay."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = [("", ())]
+    stack: list[tuple[str, tuple[str, ...], dict]] = [("", (), {})]  # tag, inner names, outer names by key
     text: list[str] = []
     linked, links = 0, 0
 
@@ -86,7 +90,9 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         said = " ".join(html.unescape("".join(text)).split())
         if said:
-            out.append(Block(said, stack[-1][1], min(1.0, linked / len(said))))
+            _, inner, outer = stack[-1]
+            path = tuple(x for x in outer.values() if x not in inner) + inner if outer else inner
+            out.append(Block(said, path, min(1.0, linked / len(said))))
         text.clear()
         linked = 0
 
@@ -141,12 +147,17 @@ def blocks(page: str) -> list[Block]:
             names = [tag]
             for name, value in _NAMED.findall(m[4]):
                 names += [f"{tag}.{x}" for x in _NAME.findall(value.lower())] + [f".{x}" for x in _NAME.findall(value.lower())]
-            # the outermost names go first from a path that is very deep
-            stack.append((tag, (stack[-1][1] + tuple(names))[-64:]))
+            _, inner, outer = stack[-1]
+            inner += tuple(names)
+            more = {x if x in LABEL_NAMES else _slot(x, size): x for x in inner[:-64]}
+            if more.keys() - outer.keys():
+                outer = outer | {k: x for k, x in more.items() if k not in outer}
+            stack.append((tag, inner[-64:], outer))
     close()
     return out
 
 
+@functools.lru_cache(200_000)
 def _slot(name: str, size: int) -> int:
     return 1 + zlib.crc32(name.encode()) % (size - 1)
 
@@ -174,8 +185,8 @@ class Features:
         """Path slots and word slots of each block, and its numbers."""
         n = len(page)
         paths = [self.slots(b.path, self.p.paths, "") + self.slots([f"last:{b.path[-1] if b.path else ''}"], self.p.paths, "") for b in page]
-        words = [self.slots(b.text.lower().split()[:64], self.p.words, "w:") for b in page]
-        numbers = np.array([(b.linked, np.log1p(len(b.text)) / 8, len(b.path) / 32, k / n, (n - k) / n, b.text[-1] in ".!?…:\"") for k, b in enumerate(page)], np.float32).reshape(n, 6)
+        words = [self.slots(b.text.lower().split(), self.p.words, "w:") for b in page]
+        numbers = np.array([(b.linked, np.log1p(len(b.text)) / 8, min(64, len(b.path)) / 32, k / n, (n - k) / n, b.text[-1] in ".!?…:\"") for k, b in enumerate(page)], np.float32).reshape(n, 6)
         return paths, words, numbers
 
 
@@ -186,6 +197,8 @@ def _bag(rows: list[list[int]], table: np.ndarray) -> np.ndarray:
     """Mean of the table's rows for each list of slots."""
     if not rows:
         return np.zeros((0, table.shape[1]), table.dtype)
+    if len(rows) > 256:  # memory for the vectors of some blocks at a time
+        return np.concatenate([_bag(rows[k:k + 256], table) for k in range(0, len(rows), 256)])
     lengths = np.array([max(1, len(r)) for r in rows])
     flat = np.fromiter((s for r in rows for s in (r or [0])), np.int64, int(lengths.sum()))
     return np.add.reduceat(table[flat], np.concatenate([[0], np.cumsum(lengths)[:-1]]), axis=0) / lengths[:, None].astype(table.dtype)
@@ -330,6 +343,7 @@ SIDE_NAMES = ("nav", "header", "footer", "aside", "form", "button", "select", "m
               ".promo", ".nav", ".menu", ".navbar", ".breadcrumb", ".breadcrumbs", ".sidebar", ".widget", ".related", ".footer", ".header", ".masthead", ".cookie",
               ".consent", ".notice", ".alert", ".popup", ".modal", ".newsletter", ".subscribe", ".signup", ".login", ".search", ".share", ".social", ".comment",
               ".comments", ".reply", ".replies", ".disqus", ".pagination", ".pager", ".copyright", ".tags", ".meta", ".toolbar", ".navigation", ".complementary", ".contentinfo")
+LABEL_NAMES = frozenset(MAIN_NAMES + SIDE_NAMES)
 
 
 def silver(page: list[Block]) -> np.ndarray | None:
@@ -417,7 +431,7 @@ def training_set(pages: list[str], p: Params) -> tuple[list[list[Block]], list[n
     rng = np.random.default_rng(p.seed)
     xs, ys, mains, texts = [], [], [], []
     for page in pages:
-        own = blocks(page)
+        own = blocks(page, p.paths)
         y = silver(own)
         if y is not None and len(own) <= 400:
             xs.append(own)
@@ -430,7 +444,7 @@ def training_set(pages: list[str], p: Params) -> tuple[list[list[Block]], list[n
         main = mains[turn % len(mains)]
         k = int(rng.integers(1, min(len(main), 12) + 1))
         page, said = skeleton(main[:k], texts, rng)
-        own, at = blocks(page), 0
+        own, at = blocks(page, p.paths), 0
         y = np.zeros(len(own), bool)
         for j, b in enumerate(own):  # the main texts come in order inside their container
             if at < len(said) and b.text == said[at] and not frozenset(SIDE_NAMES) & set(b.path):
@@ -460,7 +474,7 @@ def _extract(shared):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                pages = [blocks(x.as_py() or "") for x in part.column(2)]
+                pages = [blocks(x.as_py() or "", labeller.p.paths) for x in part.column(2)]
                 said = [" ".join(b.text for b, q in zip(own, prob) if q >= 0.5) for own, prob in zip(pages, labeller.probabilities(pages, features))]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(said, pa.string()), pa.array([len(x) for x in said], pa.int64())], names=["page_id", "url", "text", "n_chars"])
     return run

@@ -90,3 +90,15 @@ def test_new_skeletons(site):
         own = H.blocks(html)
         right += [b.text for b, q in zip(own, net.probabilities([own], f)[0]) if q >= 0.5] == said
     assert right >= 90
+
+
+def test_all_ancestors_and_all_words_reach_the_labeller():
+    wrap = "".join(f'<div class="{" ".join(f"u{chr(97 + k)}{chr(97 + j)}" for j in range(14))}">' for k in range(4))
+    (kept, comment) = H.blocks(f'<article><p>one</p><section class="comments">{wrap}two</div></div></div></div></section></article>')
+    assert "article" in comment.path and ".comments" in comment.path and len(comment.path) > 64 and comment.path[-1] == ".udn"
+    assert H.silver([kept, comment]).tolist() == [True, False]
+    deep = H.blocks("<article>" + "".join(f'<div class="{"abcdefghij"[k % 10] * (1 + k // 10)}">x' for k in range(3000)))
+    assert len(deep) == 3000 and all("article" in b.path for b in deep) and len(deep[-1].path) <= 64 + H.Params.paths + len(H.LABEL_NAMES)
+    (long,) = H.blocks("<p>" + "same " * 200 + "end</p>")
+    (_, (words,), _) = H.Features(H.Params()).of([long])
+    assert len(words) == 201 and words[-1] != words[0]
