@@ -7,7 +7,9 @@ foreign scripts, byte-fallback tokens stand for characters the vocabulary does
 not know, and the entropy of the tokens falls for repetition. Each language
 (the script, where none is given) has its own band for each measure: Tukey's
 far fences around its quartiles, from exact histograms over all documents that
-passed the word rules. What lies outside a band is rejected.
+passed the word rules. A group is only ever judged by its own quartiles; those
+of few documents are uncertain, so its fences widen with the square root of
+what it lacks. What lies outside a band is rejected.
 
 Scale. One pass measures each text (no shuffle of texts); the measures are
 written once. Histograms are summed in each task before the shuffle, and a
@@ -30,8 +32,8 @@ from mesura.llm.common import read_table, register, shared_table, tokenizer_file
 @dataclass(frozen=True)
 class Params:
     """``fence``: quartile distances beyond the quartiles. ``bins``: histogram
-    bins a unit. ``least``: documents a group needs for bands of its own;
-    smaller groups take those of all documents. ``slack`` is added to each
+    bins a unit. ``least``: documents below which a group's fences widen,
+    by the square root of ``least`` over their number. ``slack`` is added to each
     fence (characters a token, byte share, entropy). Entropy is in bits, as a
     share of log2 of the number of tokens or of ``entropy_tokens``, whichever
     is less, so that long texts are not marked down."""
@@ -132,20 +134,20 @@ def _measured(p: Params, file: str):
 
 
 def fences(measures: DataFrame, p: Params) -> DataFrame:
-    """Rows (grp, low_i, high_i for each measure, n): bands of each group, and
-    those of all rows as group ``*``."""
+    """Rows (grp, low_i, high_i for each measure): bands of each group."""
     cells = F.array(*(F.struct(F.lit(i).alias("m"), F.floor(F.col(c) * p.bins).cast("long").alias("bin")) for i, c in enumerate(_MEASURES)))
     counts = measures.select("grp", F.explode(cells).alias("x")).groupBy("grp", "x.m", "x.bin").count()
-    counts = counts.union(counts.groupBy("m", "bin").agg(F.sum("count")).select(F.lit("*"), "m", "bin", "sum(count)"))
     up = Window.partitionBy("grp", "m").orderBy("bin")
     counts = counts.withColumn("upto", F.sum("count").over(up)).withColumn("n", F.sum("count").over(Window.partitionBy("grp", "m")))
     at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("n"), F.col("bin"))) / p.bins
     quartiles = counts.groupBy("grp", "m").agg(at(0.25).alias("a"), at(0.75).alias("b"), F.max("n").alias("n"))
     slack = F.element_at(F.array(*map(F.lit, p.slack)), F.col("m") + 1)
-    wide = quartiles.select("grp", "m", "n", (F.col("a") - p.fence * (F.col("b") - F.col("a")) - slack).alias("low"),
-                            (F.col("b") + (F.lit(1.0 / p.bins)) + p.fence * (F.col("b") - F.col("a")) + slack).alias("high"))
+    # the error of a quartile goes with 1 / sqrt(n); 1 from ``least`` documents on
+    few = F.greatest(F.lit(1.0), F.sqrt(F.lit(float(p.least)) / F.col("n")))
+    wide = quartiles.select("grp", "m", (F.col("a") - few * p.fence * (F.col("b") - F.col("a")) - few * slack).alias("low"),
+                            (F.col("b") + (F.lit(1.0 / p.bins)) + few * p.fence * (F.col("b") - F.col("a")) + few * slack).alias("high"))
     pick = lambda i, c: F.max(F.when(F.col("m") == i, F.col(c))).alias(f"{c}_{i}")
-    return wide.groupBy("grp").agg(F.max("n").alias("n"), *(pick(i, c) for i in range(len(_MEASURES)) for c in ("low", "high")))
+    return wide.groupBy("grp").agg(*(pick(i, c) for i in range(len(_MEASURES)) for c in ("low", "high")))
 
 
 def judged(docs: DataFrame, p: Params = Params()) -> DataFrame:
@@ -165,9 +167,6 @@ def judged(docs: DataFrame, p: Params = Params()) -> DataFrame:
     failed = (F.col("n_words") < p.min_words) | (100 * F.col("n_repeat_words") > p.repeat_percent * F.col("n_words"))
     measures = shared_table(spark, measures.withColumn("base_failed", failed), "measures")
     bands = shared_table(spark, fences(measures.filter("not base_failed"), p), "bands")
-    # small groups take the bands of all documents; this table has a row for each language
-    everyone = lambda c: F.max(F.when(F.col("grp") == "*", F.col(c))).over(Window.partitionBy(F.lit(0)))
-    bands = bands.select("grp", *(F.when(F.col("n") >= p.least, F.col(c)).otherwise(everyone(c)).alias(c) for c in bands.columns if c not in ("grp", "n")))
     inside = ((F.col("chars_per_token") >= F.col("low_0")) & (F.col("chars_per_token") <= F.col("high_0"))
               & (F.col("byte_share") <= F.col("high_1")) & (F.col("entropy_share") >= F.col("low_2")))
     joined = measures.join(bands, "grp", "left")

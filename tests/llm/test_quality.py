@@ -89,3 +89,18 @@ def test_empty_and_failing_tables(spark):
 
 def test_scripts():
     assert [Q.script(t) for t in ("abc é", "Привет", "日本", "한국", "123", "")] == ["Latin", "Cyrillic", "Han", "Hangul", "other", "other"]
+
+
+def test_small_groups_are_judged_by_their_own_bands(spark):
+    rng = random.Random(4)
+    text = lambda words: " ".join(rng.choice(words) for _ in range(rng.randrange(80, 160)))
+    english = "the water people house garden morning river letter yellow music window table number story mother little".split()
+    thai = "น้ำ คน บ้าน สวน เช้า แม่น้ำ จดหมาย สีเหลือง ดนตรี หน้าต่าง โต๊ะ ตัวเลข เรื่อง แม่ เล็ก เสมอ".split()
+    foreign = " ".join(rng.choice(english) for _ in range(80))
+    data = [(k, text(english), "en") for k in range(2000)]
+    for n, lang in ((1, "t1"), (5, "t5"), (40, "t40"), (99, "t99"), (100, "t100")):
+        data += [(10000 * n + k, text(thai), lang) for k in range(n)]
+    data += [(5000, foreign, "t40"), (5001, foreign, "t99")]
+    got = {(r["doc_id"], r["n_words"]): r["kept"] for r in Q.judged(spark.createDataFrame(data, "doc_id long, text string, lang string")).collect()}
+    lost = [i for (i, _), kept in got.items() if i >= 10000 and not kept]
+    assert lost == [] and not got[5000, 80] and not got[5001, 80]
