@@ -49,7 +49,7 @@ def test_a_hot_key_is_split(spark, tmp_path):
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.shuffle.partitions": "8"}
     for t in ("orders", "customer", "nation", "region"):
-        shutil.copy(f"{SF}/{t}.parquet", tmp_path)
+        shutil.copyfile(f"{SF}/{t}.parquet", tmp_path / f"{t}.parquet")
     line = spark.read.parquet(f"{SF}/lineitem.parquet")
     hot = line.select(F.min("l_orderkey")).first()[0]
     line.withColumn("l_orderkey", F.when(F.xxhash64("l_partkey", "l_linenumber", "l_orderkey") % 5 != 0, hot).otherwise(F.col("l_orderkey"))).repartition(8).write.parquet(f"{tmp_path}/lineitem.parquet")
@@ -67,10 +67,10 @@ def test_a_hot_key_is_split(spark, tmp_path):
 
 def test_replaced_input_is_seen(spark, tmp_path):
     for t in ("lineitem", "orders", "customer", "nation", "region"):
-        shutil.copy(f"{SF}/{t}.parquet", tmp_path)
+        shutil.copyfile(f"{SF}/{t}.parquet", tmp_path / f"{t}.parquet")
     before = survey.fact(spark, str(tmp_path)).count()
     spark.read.parquet(f"{SF}/lineitem.parquet").limit(100).coalesce(1).write.parquet(f"{tmp_path}/new")
-    shutil.copy(glob.glob(f"{tmp_path}/new/part-*.parquet")[0], f"{tmp_path}/lineitem.parquet")
+    shutil.copyfile(glob.glob(f"{tmp_path}/new/part-*.parquet")[0], f"{tmp_path}/lineitem.parquet")
     assert before > 100 and survey.fact(spark, str(tmp_path)).count() == 100
 
 
