@@ -18,8 +18,10 @@ still apart from the pivot's component are compared, on the full sets, with
 all of that component and with each other; members of one component are not
 compared. So of two members of a bucket that end in different components at
 least one was apart and has met the other: no link between components is
-lost. These comparisons run in blocks of bounded size, many blocks a task, and
-only links leave a block. Components are found by alternating large-star and
+lost. These comparisons run in blocks of bounded characters, many blocks a
+task, and only links leave a block. Where the rows of one key (a component, the
+hub of a star) are joined with a row of that key, they are joined through 1,024
+cells of the key, so that no task gets all of them. Components are found by alternating large-star and
 small-star contraction over DataFrames. Nothing is collected.
 """
 
@@ -41,14 +43,14 @@ from mesura.llm.common import mix64, read_table, register, shared_table
 class Params:
     """``groupings`` times the registers are dealt to bands of ``rows``, each
     time in another order. At similarity 0.8 a pair shares no band of the
-    default 100 with a probability of about 4e-7 (2e-9 at 0.82). ``base`` and
+    default 114 with a probability of 3e-10 (4e-12 at 0.82). ``base`` and
     ``q`` are the spacing and the truncation of the registers, ``rate`` the
     rate of the exponential variates. ``odds`` is the log-likelihood ratio
     against the threshold at which a candidate is given up unread."""
 
     threshold: float = 0.8
     registers: int = 400
-    rows: int = 8
+    rows: int = 7
     groupings: int = 2
     base: float = 1.001
     q: int = 65534
@@ -275,9 +277,18 @@ def _blocks(p: Params):
     return run
 
 
-def _apart(spark: SparkSession, members: DataFrame, comps: DataFrame, texts: DataFrame, p: Params, block: int = 1000) -> DataFrame:
+def _spread(rows: DataFrame, key: str, by: str, side: DataFrame, cells: int = 1024) -> DataFrame:
+    """``rows`` joined on ``key`` with ``side``, which has one row a key, by
+    way of the key's cells: no key's rows meet in one task."""
+    dealt = rows.withColumn("__cell", F.pmod(F.xxhash64(by), F.lit(cells)).cast("int"))
+    told = dealt.select(key, "__cell").distinct().join(side, key)
+    return dealt.join(told, [key, "__cell"]).drop("__cell")
+
+
+def _apart(spark: SparkSession, members: DataFrame, comps: DataFrame, texts: DataFrame, p: Params, block: int = 1_000_000) -> DataFrame:
     """Links of the members that are apart from the component of their
-    bucket's pivot, with that component and with each other, written."""
+    bucket's pivot, with that component and with each other, written. A block
+    has texts of about ``block`` characters on either side."""
     state = members.join(comps, "id", "left").select("bucket", "id", "pivot", F.coalesce("comp", "id").alias("comp"))
     of_pivot = state.filter("id = pivot").select("bucket", F.col("comp").alias("main"))
     apart = state.join(of_pivot, "bucket").filter("comp != main")
@@ -286,20 +297,25 @@ def _apart(spark: SparkSession, members: DataFrame, comps: DataFrame, texts: Dat
     grown = comps.select(F.col("comp").alias("main"), F.lit(True).alias("grown")).distinct()
     near = (apart.join(many, "bucket").join(grown, "main", "left").filter("n > 1 or grown")
             .select("main", "id", "comp").distinct())
-    near = shared_table(spark, near, "apart")
-    mains = near.groupBy("main").agg(F.count(F.lit(1)).alias("nx"))
-    rest = comps.join(mains.select(F.col("main").alias("comp")), "comp", "left_semi").select(F.col("comp").alias("main"), "id", "comp")
-    right = shared_table(spark, near.union(rest), "near")
-    sizes = right.groupBy("main").agg(F.count(F.lit(1)).alias("ny")).join(mains, "main")
-    cut = lambda c: F.ceil(F.col(c) / block).cast("int")
-    dealt = lambda df, seed: df.join(sizes, "main").withColumn("own", F.xxhash64("id", F.lit(seed)))
-    whole = lambda c: F.explode(F.sequence(F.lit(0), cut(c) - 1))
+    size = texts.groupBy("id").agg(F.sum("chars").alias("chars"))
+    near = shared_table(spark, near.join(size, "id"), "apart")
+    cut = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / block)).cast("int")
+    mains = near.groupBy("main").agg(F.count(F.lit(1)).alias("nx"), F.sum("chars").alias("cx"))
+    rest = _spread(comps.withColumnRenamed("comp", "main"), "main", "id", mains.select("main")).withColumn("comp", F.col("main"))
+    right = shared_table(spark, near.union(rest.join(size, "id").select(*near.columns)), "near")
+    sizes = (right.groupBy("main").agg(F.count(F.lit(1)).alias("ny"), F.sum("chars").alias("cy")).join(mains, "main")
+             .select("main", "nx", "ny", cut("cx").alias("i_cuts"), cut("cy").alias("j_cuts")))
     # so many that a task's share of both sides is some blocks, whatever the largest component
-    dealt_rows = sizes.agg(F.sum(F.col("nx") * cut("ny") + F.col("ny") * cut("nx"))).first()[0] or 0
-    bundles = max(1, dealt_rows // (2 * block))
+    dealt_chars = (sizes.agg(F.sum(F.col("nx") * F.col("j_cuts") + F.col("ny") * F.col("i_cuts"))).first()[0] or 0) * (
+        right.agg(F.coalesce(F.avg("chars"), F.lit(0.0))).first()[0])
+    bundles = max(1, int(dealt_chars // (2 * block)))
     bundle = F.pmod(F.xxhash64("main", "i", "j"), F.lit(bundles)).alias("bundle")
-    x = dealt(near, 1).select("main", "id", "comp", F.pmod("own", cut("nx")).cast("int").alias("i"), whole("ny").alias("j"))
-    y = dealt(right, 2).select("main", "id", "comp", F.pmod("own", cut("ny")).cast("int").alias("j"), whole("nx").alias("i"))
+
+    def dealt(df: DataFrame, own: str, other: str, seed: int) -> DataFrame:
+        at = F.pmod(F.xxhash64("id", F.lit(seed)), F.col(f"{own}_cuts")).cast("int")
+        return _spread(df, "main", "id", sizes).select("main", "id", "comp", at.alias(own), F.explode(F.sequence(F.lit(0), F.col(f"{other}_cuts") - 1)).alias(other))
+
+    x, y = dealt(near, "i", "j", 1).select("main", "id", "comp", "i", "j"), dealt(right, "j", "i", 2).select("main", "id", "comp", "j", "i")
     told = lambda df: df.join(texts, "id").select(bundle, "main", "i", "j", "id", "comp", "text")
     # both sides of a cogroup must not share columns
     renamed = told(y).select(*(F.col(c).alias(c + "_") for c in ("bundle", "main", "i", "j", "id", "comp", "text")))
@@ -323,9 +339,9 @@ def connected(spark: SparkSession, links: DataFrame, name: str = "stars") -> Dat
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("mv")).select("u", F.least("u", "mv").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
+        large = _spread(both, "u", "v", least).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = _spread(large, "u", "v", low).filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = shared_table(spark, small.union(low.select("u", F.col("m").alias("v"))).filter("u != v").distinct(), name)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == before:
@@ -358,7 +374,12 @@ def near_duplicates(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id
     sketched = shared_table(spark, rows.mapInArrow(_sketches(p), "id long, n long, f1 long, f2 long, regs binary"), "sketches")
     full = sketched.filter("n > 0 and id is not null")
     classes = full.groupBy("f1", "f2").agg(F.min("id").alias("rep"))
-    reps = full.join(classes.select(F.col("rep").alias("id"), "f1", "f2"), ["id", "f1", "f2"], "left_semi").select("id", "n", "regs")
+    # rows that repeat an id and a text are one member, before any bucket
+    reps = (full.join(classes.select(F.col("rep").alias("id"), "f1", "f2"), ["id", "f1", "f2"], "left_semi")
+            .dropDuplicates(["id", "f1", "f2"]).select("id", "n", "regs"))
+    if not full.groupBy("id").count().filter("count > 1").isEmpty():
+        same = [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit("second"), "text").alias("t2")]
+        rows = rows.groupBy("id", *same).agg(F.first("text").alias("text")).select("id", "text")
 
     keys = reps.select("id", "regs").mapInArrow(_bands(p), "bucket long, id long")
     shared = (keys.groupBy("bucket").agg(F.min("id").alias("pivot"), F.max("id").alias("last"), F.count(F.lit(1)).alias("size"))
@@ -367,7 +388,7 @@ def near_duplicates(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id
     # sketches and texts of the members alone: what later rounds read
     involved = members.select("id").distinct()
     reps = shared_table(spark, reps.join(involved, "id", "left_semi"), "reps")
-    texts = shared_table(spark, rows.join(involved, "id", "left_semi"), "texts")
+    texts = shared_table(spark, rows.join(involved, "id", "left_semi").withColumn("chars", F.length("text")), "texts")
 
     pairs = members.filter("id != pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     links = _links(spark, pairs, reps, texts, p, "links")

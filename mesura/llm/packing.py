@@ -66,8 +66,11 @@ class ChunkIds(dict):
     The tokenizer drops white space and never joins across it, so a text's
     ids are those of its runs in order; each run is encoded once while it
     stays in the cache. A run of letters below U+0180 is one word, whose ids
-    the tokenizer's model gives without its other steps; with marks behind it
-    is the word and the marks. Other runs take the whole tokenizer. Two generations bound the cache.
+    the tokenizer's model gives without its other steps. Letters that end in
+    one below U+0180, with marks behind, are the letters and the marks; a later
+    letter may be normalised into a letter and a mark, which then join the marks
+    behind it. Other runs take the whole tokenizer. Two generations bound the
+    cache.
     """
 
     def __init__(self, file: str, most: int = 250_000):
@@ -91,7 +94,7 @@ class ChunkIds(dict):
                 else:
                     shown = text if text.isascii() else run.decode("latin-1").translate(self.signs)
                     ids = array("I", [t.id for t in self.model(shown)]).tobytes()
-            elif (word := text.rstrip(MARKS)) != text and word.isalpha():
+            elif (word := text.rstrip(MARKS)) != text and word.isalpha() and word[-1] < "\u0180" and word[-1] != "\u0130":
                 ids = self[word.encode()] + self[text[len(word):].encode()]
             else:
                 ids = array("I", self.encode(text, add_special_tokens=False).ids).tobytes()
@@ -211,24 +214,27 @@ def pack(docs: DataFrame, cap: Capacity = Capacity(), rule: str = "norm", with_i
     offset), one for each piece of each row of ``docs``.
 
     A null or empty text is the end id alone. Rows that repeat an id are packed
-    each for itself; a null id stays null. Equal lengths are ranked by id and
-    piece. Other columns of ``docs`` are not read. An empty table gives an
+    each for itself; a null id stays null. Equal lengths are ranked by id, piece
+    and checksum. Other columns of ``docs`` are not read. An empty table gives an
     empty result.
     """
     spark = docs.sparkSession
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    pieces = shared_table(spark, rows.mapInArrow(_pieces(tokenizer_file(vocabulary, folder), cap.piece, end_id, with_ids), schema), "pieces")
+    # rows that repeat are interchangeable: a counter deals them, written so that it stays as it is
+    cut = rows.mapInArrow(_pieces(tokenizer_file(vocabulary, folder), cap.piece, end_id, with_ids), schema)
+    pieces = shared_table(spark, cut.withColumn("spread", F.monotonically_increasing_id()), "pieces")
+    columns = [c for c in pieces.columns if c != "spread"]
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # at most cap.piece rows
     slots = best_fit(counts, cap, rule)
     buckets = math.ceil(math.sqrt(sum(counts.values())) / 16) or 1
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
+    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "spread"), F.lit(buckets)))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = dealt.groupBy("length", "bucket").count().select("length", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
-    within = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")
+    within = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32", "spread")
     ranked = (dealt.withColumn("nth", F.row_number().over(within) - 1).join(offsets, ["length", "bucket"])
-              .withColumn("rank", F.col("before") + F.col("nth")).select(*pieces.columns, "rank"))
-    return ranked.mapInArrow(_place(slots, cap.piece, pieces.columns), schema + ", sequence_id long, offset long")
+              .withColumn("rank", F.col("before") + F.col("nth")).select(*columns, "rank"))
+    return ranked.mapInArrow(_place(slots, cap.piece, columns), schema + ", sequence_id long, offset long")
 
 
 @register("op10_best_fit_packing")

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -118,3 +119,44 @@ def test_connected_components(spark):
         parent[max(x, y)] = min(x, y)
     want = {x: find(x) for x in parent if any(x in e and e[0] != e[1] for e in links)}
     assert got == want
+
+
+def test_bands_miss_as_stated():
+    """Exact: of 400 registers k are equal with the binomial's probability, and
+    of the ways to place k some fill no band."""
+    p, share = N.Params(), 0.8
+    bands = p.registers // p.rows
+    ways = [1]
+    for _ in range(bands):
+        ways = np.convolve(np.array(ways, object), np.array([math.comb(p.rows, k) for k in range(p.rows)], object))
+    ways = np.convolve(ways, np.array([math.comb(p.registers % p.rows, k) for k in range(p.registers % p.rows + 1)], object))
+    miss = sum(math.comb(400, k) * share ** k * (1 - share) ** (400 - k) * (ways[k] / math.comb(400, k)) ** p.groupings for k in range(len(ways)))
+    assert miss <= 5e-9
+
+
+def test_repeated_rows_meet_once(spark, monkeypatch):
+    """Two near copies, each 1,000 times: as many pairs as of one each."""
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(200)]
+    texts = [" ".join(base), edited(rng, base, 3), edited(rng, base, 3)]
+    seen = []
+    links = N._links
+
+    def counted(spark, pairs, reps, texts, p, name):
+        seen.append((pairs.count(), reps.count(), texts.count()))
+        return links(spark, pairs, reps, texts, p, name)
+
+    monkeypatch.setattr(N, "_links", counted)
+    once = [(i, t) for i, t in enumerate(texts)]
+    check(spark, once)
+    got = N.near_duplicates(table(spark, full(once * 1000))).groupBy("doc_id", "component_id", "kept").count().collect()
+    assert {tuple(r) for r in got} == {(i, 0, i == 0, 1000) for i in range(3)}
+    assert seen[0] == seen[1] == (2, 3, 3)
+
+
+def test_hot_keys_are_joined_in_cells(spark):
+    rows = spark.range(5000).selectExpr("cast(if(id % 10 < 7, 1, id) as long) as k", "id")
+    side = rows.select("k").distinct().selectExpr("k", "k * 2 as twice")
+    got = N._spread(rows, "k", "id", side)
+    assert got.columns == ["k", "id", "twice"]
+    assert sorted(map(tuple, got.collect())) == sorted((1 if i % 10 < 7 else i, i, 2 if i % 10 < 7 else 2 * i) for i in range(5000))

@@ -97,3 +97,30 @@ def test_small_cache_gives_the_same_ids(tokenizer):
     for _, t in TEXTS:
         got = b"".join(map(ids.__getitem__, (t or "").encode().split()))
         assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids
+
+
+def test_ids_of_every_letter_before_marks(tokenizer):
+    """A letter that normalisation splits must not lose its mark to the short way."""
+    ids = P.ChunkIds(tokenizer_file("word_bpe_49k.json"))
+    letters = [chr(c) for c in range(0x30000) if chr(c).isalpha()]
+    wrong = []
+    for start in range(0, len(letters), 20_000):
+        runs = [x for c in letters[start:start + 20_000] for x in (c + "!", "a" + c + ").", c + "a,")]
+        for run, want in zip(runs, tokenizer.encode_batch(runs, add_special_tokens=False)):
+            if ids[run.encode()] != np.array(want.ids, "<u4").tobytes():
+                wrong.append(run)
+    assert wrong == []
+
+
+def test_ids_of_mixed_scripts(tokenizer):
+    import random
+    ids, rng = P.ChunkIds(tokenizer_file("word_bpe_49k.json")), random.Random(2)
+    signs = "aéßİıſ日本हिन्दीक़ড়য়ਲ਼ଢ଼שׁאּ한국́̃!?.,'\"-_()¿0९Ⅷ�ﬁ"
+    runs = ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 9))) for _ in range(20_000)]
+    assert [r for r, want in zip(runs, tokenizer.encode_batch(runs, add_special_tokens=False)) if ids[r.encode()] != np.array(want.ids, "<u4").tobytes()] == []
+
+
+def test_repeated_and_null_ids_are_spread(spark, tokenizer):
+    rows = [(None, "same text here")] * 900 + [(7, "same text here")] * 900 + [(k, "other text") for k in range(100)]
+    bins = check(rows, P.pack(table(spark, rows), P.Capacity(64, 64, 64 * 64)).collect(), tokenizer, P.Capacity(64, 64, 64 * 64))
+    assert sum(len(b) for b in bins.values()) == len(rows)
