@@ -1,12 +1,16 @@
 """Toxicity by noisy-channel deobfuscation and a learned lexicon.
 
-A disguised word ("1d10t", "i d i o t", "id*iot", "idiooot") is a path through
-a character lattice: a figure or sign stands for a letter, a separator for
-nothing or for a word's end, a run of a letter for one or two of it. Viterbi
-decoding under a character trigram model of the corpus picks the path; the
-restored text is scored. Runs of any length are decoded, and so are tokens
-without a letter ("455") and words of two spaced signs or more; what that makes
-of plain numbers counts against a lexicon entry where clean texts have it too.
+A disguised word ("1d10t", "i d i o t", "id*iot", "idiiot") is a path through
+a character lattice: a figure or sign stands for a letter, a letter of another
+alphabet for the one it looks like, a separator for nothing or for a word's
+end, a run of a letter for one or two of it, a blank for a word's end or, at a
+cost, for nothing. Viterbi decoding under a character trigram model of the
+corpus picks the path; the restored text is scored. Runs of any length are
+decoded, and so are tokens without a letter ("455") and words of two spaced
+signs or more, whatever separators and line ends stand between them; what that
+makes of plain numbers counts against a lexicon entry where clean texts have it
+too. Words in parts ("id iot") are decoded where a part begins a lexicon word
+and the parts behind complete it: nothing else could change the score.
 
 The trigram model counts all documents (28 symbols cubed, summed before any
 shuffle). The lexicon is fitted on a bounded sample of labelled rows: words
@@ -22,7 +26,7 @@ import os
 import re
 import unicodedata
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -37,14 +41,16 @@ from mesura.llm.common import doc_split, read_table, register
 # What a sign may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
         "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "¡": "i"}
-SEPARATORS = " \t.,-_*~/\\'`^#%&:;="
+#: Letters of other alphabets and the Latin letters that they look like.
+LOOKALIKES = dict(zip("аеорсухіѕјһԁԛԝмтвнк" "οανιρτυκεχηω" "ıøłđðħŧɑɡɩʟ", "aeopcyxisjhdqwmtbhk" "oavlptukexnw" "iolddhtagil"))
+SEPARATORS = " \t\n\r\v\f.,-_*~/\\'`^#%&:;="
 EDGE = "\"'()[]{}<>.,;:!?*#%&$|=~_-…«»“”‘’„¿¡"
 SYMBOLS = 28  # word end, a to z, any other letter
 KEPT = 64  # longer runs are seldom met again: decoded each time, not remembered
 
-_COST = {"letter": 0.0, "sign": -1.0, "drop": -0.7, "end": -2.5, "run": -0.5}
-_SPACED = re.compile(r"(?<!\S)\S([ \t._*-])\S(?:\1\S)*(?![^\s.,;:!?])")
-_RUN = re.compile(r"(.)\1{2,}")
+_COST = {"sign": -1.0, "alike": -1.0, "drop": -0.7, "end": -2.5, "run": -0.5, "double": -4.0, "join": -2.5}
+_SPACED = re.compile(r"(?<!\S)[^\s._*\-](?:[\s._*\-]++[^\s._*\-](?=[\s._*\-,;:!?]|$))++")
+_ALIKE = re.compile("[" + "".join(LOOKALIKES) + "]")
 _PLAIN = re.compile(r"(?:([^\W\d_])(?!\1))+")
 
 
@@ -55,8 +61,8 @@ class Params:
     feature enters the lexicon, ``weak`` that for toxic texts nothing else
     explains; beginnings have ``prefix`` letters at least."""
 
-    toxic_rows: int = 1200
-    clean_rows: int = 4800
+    toxic_rows: int = 1500
+    clean_rows: int = 6000
     evidence: float = 16.0
     weak: float = 6.0
     prefix: int = 4
@@ -109,10 +115,27 @@ class Model:
         self.kept: dict[str, tuple[str, ...]] = {}
         self.sums: dict[str, tuple[str, ...]] = {}
         self.longest = max((len(k.rstrip("$")) for k in self.weights), default=0)
+        #: What a part of a lexicon word may begin with.
+        self.stems = {k[:n] for k in (x.rstrip("$") for x in self.weights) for n in range(1, len(k))}
 
     def __getstate__(self):
         return {**self.__dict__, "kept": {}, "sums": {}}
 
+    @staticmethod
+    def readings(c: str, n: int, spaced: bool) -> list[tuple[str, float]]:
+        """What ``n`` of the sign ``c`` in a row may stand for, and the channel's
+        log-probability of each."""
+        if c.isalpha():
+            k = 2 if n == 2 else 1
+            found = [(c, 0.0)] if n == 1 else [(c, _COST["double" if n == 2 else "run"]), (c * 2, 0.0 if n == 2 else _COST["run"])]
+            return found + [(x * m, cost + k * _COST["alike"]) for x in LOOKALIKES.get(c, "") for m, cost in ((len(f), w) for f, w in found)]
+        found = [(x * m, m * _COST["sign"]) for x in LEET.get(c, "") for m in {1, min(n, 2)}]
+        if spaced and (c in SEPARATORS or not found):
+            return [*found, ("", 0.0), (" ", 4 * _COST["end"])]
+        if c.isspace():
+            return [(" ", 0.0), ("", _COST["join"])]
+        return [*found, ("", _COST["drop"]), (" ", _COST["end"])] if c in SEPARATORS or not found else found
+
     def decode(self, token: str, spaced: bool = False) -> tuple[str, ...]:
         """Words of the most likely path through the token's lattice. In a
         ``spaced`` token a separator stands between any two signs. Time is
@@ -127,7 +150,7 @@ class Model:
                 shared.append(head)
                 states = {k: (s, said[len(head):]) for k, (s, said) in states.items()}
                 check = i + 256 + max(len(said) for _, said in states.values())
-            if len(states) == 1 and (m := _PLAIN.match(token, i)) and m.end() - i > 2 and m[0].isalpha():
+            if len(states) == 1 and (m := _PLAIN.match(token, i)) and m.end() - i > 2 and m[0].isalpha() and not _ALIKE.search(m[0]):
                 # one path in, one letter a sign: one path out, whatever its score
                 a, b = _symbol(m[0][-2]), _symbol(m[0][-1])
                 if a and b:
@@ -139,14 +162,7 @@ class Model:
             j = i + 1
             while j < len(token) and token[j] == c:
                 j += 1
-            options: list[tuple[str, float]] = []
-            if c.isalpha():
-                k = j - i
-                options = [(c, 0.0)] if k == 1 else [(c, _COST["run"]), (c * 2, 0.0 if k == 2 else _COST["run"])]
-            else:
-                options += [(x * n, n * _COST["sign"]) for x in LEET.get(c, "") for n in {1, min(j - i, 2)}]
-                if c in SEPARATORS or not options:
-                    options += [("", 0.0), (" ", 4 * _COST["end"])] if spaced else [("", _COST["drop"]), (" ", _COST["end"])]
+            options = self.readings(c, j - i, spaced)
             reached: dict[tuple[int, int], tuple[float, str]] = {}
             for (a, b), (score, said) in states.items():
                 for out, cost in options:
@@ -168,7 +184,7 @@ class Model:
         found = self.kept.get(chunk)
         if found is None:
             core = chunk.strip(EDGE)
-            if core.isalpha() and not _RUN.search(core):
+            if _PLAIN.fullmatch(core) and not _ALIKE.search(core):
                 # a sign right before or behind the letters may be one of them
                 at = chunk.find(core)
                 before, behind = chunk[max(0, at - 1):at], chunk[at + len(core):]
@@ -197,6 +213,25 @@ class Model:
         """Words of a run of single signs."""
         return set(self.decode(span, True))
 
+    def joined(self, tokens: list[str], distinct: set[str]) -> set[str]:
+        """Words that the lattice reads across blanks, of tokens that spell a
+        lexicon entry together. A part begins an entry and the next ones go on
+        with it, so a span has no more tokens than the longest entry letters."""
+        begins = {c for c in distinct if any(w in self.stems for w in self.words(c))}
+        out: set[str] = set()
+        if not begins:
+            return out
+        for i, c in enumerate(tokens):
+            if c not in begins:
+                continue
+            so_far, j = {w for w in self.words(c) if w in self.stems}, i + 1
+            while so_far and j < len(tokens):
+                longer = {(a, a + w) for a in so_far for w in self.words(tokens[j])}
+                if any(len(h.rstrip("$")) > len(a) for a, w in longer for h in self.hits(w)):
+                    out.update(self.decode(" ".join(tokens[i:j + 1])))
+                so_far, j = {w for _, w in longer if w in self.stems}, j + 1
+        return out
+
     def hits(self, word: str) -> list[str]:
         found = [word + "$"] if word + "$" in self.weights else []
         return found + [word[:k] for k in range(1, min(len(word), self.longest) + 1) if word[:k] in self.weights]
@@ -210,7 +245,9 @@ class Model:
         """0 to 1; a null or empty text has the score of a text without hits."""
         text = (text or "").lower()
         found: set[str] = set()
-        for c in set(text.split()):
+        tokens = text.split()
+        distinct = set(tokens)
+        for c in distinct:
             got = self.sums.get(c)
             if got is None:
                 got = tuple(dict.fromkeys(h for w in self.words(c) for h in self.hits(w)))
@@ -222,6 +259,7 @@ class Model:
                 found.update(got)
         for m in _SPACED.finditer(text):
             found.update(h for w in self.unspaced(m[0]) for h in self.hits(w))
+        found.update(h for w in self.joined(tokens, distinct) for h in self.hits(w))
         most, more = self.measures(found)
         z = self.base + self.most * most + self.more * more if found else self.base
         return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
@@ -263,7 +301,7 @@ def count_trigrams(docs: DataFrame, text_col: str = "text") -> dict[int, int]:
     return {r[0]: r[1] for r in rows.groupBy("k").agg(F.sum("n").alias("n")).collect()}
 
 
-def _features(words: set[str], prefix: int) -> set[str]:
+def _features(words: Collection[str], prefix: int) -> set[str]:
     return {w + "$" for w in words if len(w) >= 2} | {w[:k] for w in words for k in range(prefix, min(len(w), 12) + 1)}
 
 
@@ -288,8 +326,8 @@ def _copies(sketches: list[tuple[int, ...]]) -> list[int]:
     return group
 
 
-def fit_lexicon(lm: np.ndarray, rows: list[tuple[set[str], int, tuple[int, ...]]], share: float, p: Params) -> Model:
-    """Lexicon from restored word sets with labels and sketches; ``share`` is
+def fit_lexicon(lm: np.ndarray, rows: list[tuple[Collection[str], int, tuple[int, ...]]], share: float, p: Params) -> Model:
+    """Lexicon from distinct restored words with labels and sketches; ``share`` is
     the share of toxic rows among all labelled ones, for the base odds."""
     toxic, clean = [w for w, y, _ in rows if y], [w for w, y, _ in rows if not y]
     if not toxic or not clean:
@@ -297,7 +335,7 @@ def fit_lexicon(lm: np.ndarray, rows: list[tuple[set[str], int, tuple[int, ...]]
         return Model(lm, {}, known)
     groups: dict[int, set[str]] = defaultdict(set)
     for g, words in zip(_copies([x for _, y, x in rows if y]), toxic):
-        groups[g] |= words
+        groups[g].update(words)
     copies, n1 = len(groups), Counter()
     for words in groups.values():  # features are made on the way, not kept
         n1.update(_features(words, p.prefix))
@@ -385,7 +423,8 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params(), id_col: str =
     # the broadcast side holds at most toxic_rows + clean_rows ids
     said = (texts.join(F.broadcast(sample), "id").select("y", "text").mapInArrow(words, "y int, words string, sketch string").distinct()
             .orderBy(F.xxhash64("words", "y"), "words", "y", "sketch").limit(most).collect())
-    rows = [(set(r["words"].split("\n")) - {""}, r["y"], tuple(map(int, r["sketch"].split()))) for r in said]
+    one: dict[str, str] = {}  # texts share the words they have in common
+    rows = [(tuple(one.setdefault(w, w) for w in r["words"].split("\n") if w), r["y"], tuple(map(int, r["sketch"].split()))) for r in said]
     count = sum(totals.values())
     return fit_lexicon(lm, rows, totals.get(1, 0) / count if count else 0.0, p)
 
@@ -406,8 +445,10 @@ def toxic_scores(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Da
     """Rows (doc_id, held_out, score, predicted), one for each row of ``docs``.
 
     Labels of held-out rows (crc32 of the id as text divisible by 5) are not
-    learned from. A null id is not held out. Without any label the score is 0.
-    Other columns of either table are not read. An empty table gives an empty
+    learned from. A null id is not held out. Rows that repeat an id are scored
+    each for its text, equal texts alike; an id with several labels has the
+    larger. A score of exactly the threshold is toxic. Very long texts are read
+    whole. Without any label the score is 0. Other columns of either table are not read. An empty table gives an empty
     result.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -103,3 +103,65 @@ def test_decoding_of_a_long_run_is_that_of_its_parts():
     n = sum(X.trigram_counts(t) for t in ["idiot said", "the little island", "list"] * 20)
     m = X.Model(X.language_model({int(k): int(v) for k, v in enumerate(n) if v}))
     assert m.decode(" ".join(["1d1ot"] * 3000)) == ("idiot",) * 3000 and m.decode("abc" * 20000) == ("abc" * 20000,)
+
+
+def model(texts, weights=None):
+    n = sum(X.trigram_counts(t) for t in texts)
+    return X.Model(X.language_model({int(k): int(v) for k, v in enumerate(n) if v}), weights or {})
+
+
+PROSE = ["the idiot said hello to a little moron", "see the book in the street", "an island of coffee and apples", "he took a letter off the wall", "all people went home after summer"] * 30
+
+
+def test_disguises_are_restored_by_the_lattice():
+    m = model(PROSE)
+    for t in ("idiiot", "iidiott", "idiiiot", "i d-i.o t", "i  d  i  o  t", "i\nd\ni\no\nt", "i . d _ i * o - t", "idіot", "idiоt", "іdіоt", "1dі0t", "IDII0T", "i-d-i  o\tt"):
+        assert "idiot" in m.restored(t), t
+    for t in ("little", "hello", "street", "coffee", "letter", "summer"):
+        assert m.words(t) == (t,), t
+    assert m.words("дом") == ("дом",) or "дом" in m.words("дом")
+
+
+def test_words_in_parts():
+    m = model(PROSE, {"idiot$": 5.0, "moro": 4.0})
+    for t in ("id iot", "idi ot", "i d i0t", "1d iot", "id\n\niot", "the id i o t here", "mor on", "m0rо n"):
+        tokens = t.split()
+        assert any(m.hits(w) for w in m.joined(tokens, set(tokens))) or any(m.hits(w) for w in m.restored(t)), t
+    for t in ("the idea of it", "more on tuesday", "i do it", "mor the on", ""):
+        tokens = t.split()
+        assert not any(m.hits(w) for w in m.joined(tokens, set(tokens))), t
+
+
+@pytest.mark.parametrize("spaced", [False, True])
+def test_viterbi_finds_the_best_of_all_paths(spaced):
+    m = model(PROSE)
+    rng = random.Random(6)
+
+    def paths(token, i=0):
+        """All readings of a token: (text, log-probability of the channel)."""
+        if i == len(token):
+            yield "", 0.0
+            return
+        j = i
+        while j < len(token) and token[j] == token[i]:
+            j += 1
+        for said, cost in m.readings(token[i], j - i, spaced):
+            for rest, more in paths(token, j):
+                yield said + rest, cost + more
+
+    def likelihood(text):
+        p = q = 0
+        total = 0.0
+        for c in [*text, " "]:
+            x = 0 if c == " " else int(X.fold(c)[0])
+            if x or q:
+                total += m.lm[p, q, x]
+                p, q = q, x
+        return total
+
+    for _ in range(150):
+        token = "".join(rng.choice("idot1l0o- .eéоs$") for _ in range(rng.randrange(1, 9)))
+        scored = [(cost + likelihood(said), said) for said, cost in paths(token)]
+        best = max(s for s, _ in scored)
+        got = m.decode(token, spaced)
+        assert got in {tuple(said.split()) for s, said in scored if s > best - 1e-9}, token
