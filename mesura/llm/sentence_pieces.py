@@ -6,11 +6,14 @@ over the lattice and backward sampling draw a path exactly from that
 distribution. The draws come from a counter-based generator keyed by the row's
 key, so a row's segmentation is the same in every run, wherever it is computed.
 
-No piece of the vocabulary crosses the start of a word or a control character,
-so the lattice is a chain of the lattices of the words. Forward sums are
+A word is a run of spaces with what stands behind it up to the next space. No
+piece of the vocabulary goes from a sign to a space behind it or over a line
+end, so the lattice is a chain of the lattices of the words, however long they
+are (text without spaces is one word). Forward sums are
 computed once for each distinct word of a batch, over all words at once; the
 backward draws go over all words of a batch at once too, one piece a step.
-Nothing is shuffled; memory is bounded by a slice of a batch.
+Nothing is shuffled; memory is bounded by a slice of a batch, and by its
+longest text: a lattice takes some 200 bytes a sign.
 
 Encoding is without normalisation: a space is the mark U+2581, and whatever
 the vocabulary has no piece for, U+2581 itself included, goes to byte pieces,
@@ -34,7 +37,7 @@ from pyspark.sql import functions as F
 from mesura.llm.common import mix64, read_table, register, tokenizer_file
 
 SPACE = "▁"
-_WORD = re.compile(" ?[^ \n▁]+| |[\n▁]")
+_WORD = re.compile(" *[^ \n▁]+| +|[\n▁]")
 
 
 @dataclass(frozen=True)
@@ -42,8 +45,7 @@ class Params:
     """``alpha`` sharpens (above 1) or flattens the distribution; ``seed``
     keys the draws beside the row's key. The vocabulary's pieces are ranked,
     not weighted; a piece of rank r gets log-probability -log(r + ``shift``).
-    ``most`` is the number of words handled at once; longer words than
-    ``longest`` code points are cut, where pieces may not cross."""
+    ``most`` is the number of words handled at once."""
 
     vocabulary: str = "piece_bpe_32k.model"
     folder: str | None = None
@@ -51,7 +53,6 @@ class Params:
     shift: float = 100.0
     seed: int = 0
     most: int = 400_000
-    longest: int = 512
 
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -93,8 +94,9 @@ class Pieces:
         for i, s in enumerate(self.text):
             if sp.is_byte(i):
                 self.byte[int(s[3:5], 16)], self.said[i] = i, bytes([int(s[3:5], 16)])
-            # a mark elsewhere than in front would cross words
-            elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)) and s and SPACE not in s[1:] and "\n" not in s:
+            elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)) and s and "\n" not in s:
+                if SPACE in s.lstrip(SPACE):
+                    raise ValueError(f"piece {s!r} goes from a sign to a space: words are no chain")
                 keep.append(i)
         order = sorted(keep, key=lambda i: (-sp.get_score(i), i))
         logp = np.full(size, np.nan)
@@ -135,13 +137,10 @@ class Pieces:
         return b"".join(map(self.said.__getitem__, ids.tolist())).decode()
 
 
-def words_of(text: str, longest: int) -> list[str]:
-    """A text cut where no piece may cross: before each space, around a line
-    end or a mark, and in over-long words."""
-    found = _WORD.findall(text)
-    if max(map(len, found), default=0) > longest:
-        found = [w[k:k + longest] for w in found for k in range(0, len(w), longest)]
-    return found
+def words_of(text: str) -> list[str]:
+    """A text cut where no piece crosses: before each run of spaces, and
+    around a line end or a mark."""
+    return _WORD.findall(text)
 
 
 class Lattices:
@@ -196,7 +195,7 @@ class Lattices:
         # forward sums, all words at once, place by place
         alpha = np.full(nodes, -np.inf)
         alpha[self.node] = 0.0
-        at_place = np.zeros(nodes, np.int16)
+        at_place = np.zeros(nodes, np.int32)
         at_place[end_node] = place + 1
         edge_place = at_place[end]
         by_place = np.argsort(edge_place, kind="stable")
@@ -264,7 +263,7 @@ class Sampler:
         todo: list[tuple[int, int, list[str]]] = []
         held = 0
         for i, t in enumerate(texts):
-            words = words_of(t, self.p.longest)
+            words = words_of(t)
             for k in range(0, len(words), self.p.most):  # a long text goes in parts
                 part = words[k:k + self.p.most]
                 if held + len(part) > self.p.most and todo:

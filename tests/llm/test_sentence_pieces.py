@@ -81,3 +81,45 @@ def test_query_rows(spark):
     other = S.encode(df, S.Params(seed=9, alpha=0.2)).filter("doc_id = 1").first()
     assert other["pieces"] != S.encode(df, S.Params(seed=10, alpha=0.2)).filter("doc_id = 1").first()["pieces"]
     assert S.decode(S.encode(df.limit(0))).count() == 0
+
+
+def drawn(pieces, word, n):
+    lattice = S.Lattices([word], pieces)
+    who, edge = lattice.sample(np.zeros(n, np.int64), mix64(np.arange(n, dtype=np.uint64)))
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(who, minlength=n))])
+    return [tuple(lattice.piece[edge[a:b]].tolist()) for a, b in itertools.pairwise(bounds)]
+
+
+def test_runs_of_spaces_have_their_pieces(sampler):
+    pieces = sampler.pieces
+    assert S.words_of("a    b  \n c ▁") == ["a", "    b", "  ", "\n", " c", " ", "▁"]
+    n = 40000
+    seen = Counter(drawn(pieces, "    b", n))
+    brute = paths(pieces, S.SPACE * 4 + "b")
+    total = sum(math.exp(w) for _, w in brute)
+    assert any(set(pieces.text[x[0]]) == {S.SPACE} and len(pieces.text[x[0]]) > 1 for x in seen)
+    for x, w in brute:
+        share = math.exp(w) / total
+        assert abs(seen[x] / n - share) < 5 * math.sqrt(share / n) + 1e-3
+
+
+def test_a_long_run_is_not_cut(sampler):
+    """The share of draws with a boundary at each of some places is that of
+    forward and backward sums over the whole run."""
+    pieces, run = sampler.pieces, "thequickbrownfoxjumps" * 30
+    names = {t: i for i, t in enumerate(pieces.text) if not math.isnan(pieces.logp[i])}
+    size = len(run)
+    edges = [[(b, pieces.logp[names[run[a:b]]]) for b in range(a + 1, min(size, a + pieces.longest) + 1) if run[a:b] in names] for a in range(size)]
+    ahead, behind = [-math.inf] * size + [0.0], [0.0] + [-math.inf] * size
+    for a in reversed(range(size)):
+        ahead[a] = float(np.logaddexp.reduce([w + ahead[b] for b, w in edges[a]]))
+    for a in range(size):
+        for b, w in edges[a]:
+            behind[b] = float(np.logaddexp(behind[b], behind[a] + w))
+    n, cut = 3000, Counter()
+    for x in drawn(pieces, run, n):
+        cut.update(itertools.accumulate(len(pieces.text[i]) for i in x))
+    assert cut[size] == n
+    for at in (1, 256, 511, 512, 513, 600):
+        share = math.exp(behind[at] + ahead[at] - ahead[0])
+        assert abs(cut[at] / n - share) < 5 * math.sqrt(share * (1 - share) / n) + 1e-3, at
