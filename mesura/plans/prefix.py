@@ -1,4 +1,4 @@
-"""Ranks and running sums over orders of any size.
+"""Ranks, accumulation and running sums over orders of any size.
 
 A window without keys, or with a key that holds most rows, puts its rows in
 one task. Here the rows are dealt by ranges of (keys, order), so a large group
@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from mesura.functions.blank import div
 from mesura.plans.evaluate import join_on_keys, q
 from mesura.session import ensure_checkpoint_dir, join_path
 
@@ -60,3 +61,25 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], s
     joined = join_on_keys(rows, carried, ["__part", *keys])
     added = {name: F.when(q(f"__{name}").isNull(), q(name)).otherwise(q(name) + q(f"__{name}")) for name in sums}
     return joined.withColumns(added).drop("__part", *[f"__{name}" for name in sums])
+
+
+def dense_ranks(df: DataFrame, keys: Sequence[str], value: str, name: str, scratch: Scratch, descending: bool = True, blank_as_zero: bool = True) -> DataFrame:
+    """``df`` with the dense rank of ``value`` among the rows of the same
+    ``keys``. Ties share a rank and BLANK ranks as 0 (else last). The distinct
+    values are ranked, so a value that many rows share is one row."""
+    of = F.coalesce(q(value), F.lit(0)) if blank_as_zero else q(value)
+    rows = df.withColumn("__value", of)
+    order = F.desc_nulls_last("__value") if descending else F.asc_nulls_last("__value")
+    places = running(rows.select(*map(q, keys), "__value").distinct(), keys, [order], {name: F.lit(1)}, scratch)
+    return join_on_keys(rows, places.withColumn(name, q(name).cast("long")), [*keys, "__value"]).drop("__value")
+
+
+def accumulated(df: DataFrame, keys: Sequence[str], value: str, name: str, scratch: Scratch) -> DataFrame:
+    """``df`` with the sum of the values that are not below the row's (peers
+    whole, BLANK where the value is) and, in ``<name>_pct``, its share of the
+    sum of all. Values that are equal are added up before they are ordered."""
+    equal = df.filter(q(value).isNotNull()).groupBy(*map(q, keys), q(value)).agg(F.sum(q(value)).alias("__equal"))
+    along = running(equal, keys, [F.desc(value)], {name: F.col("__equal")}, scratch).select(*map(q, keys), q(value), q(name))
+    whole = df.groupBy(*map(q, keys)).agg(F.sum(q(value)).alias("__whole"))
+    out = join_on_keys(join_on_keys(df, along, [*keys, value]), whole, keys)
+    return out.withColumn(f"{name}_pct", div(q(name), q("__whole"))).drop("__whole")
