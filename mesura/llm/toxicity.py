@@ -51,6 +51,7 @@ KEPT = 64  # longer runs are seldom met again: decoded each time, not remembered
 _COST = {"sign": -1.0, "alike": -1.0, "drop": -0.7, "end": -2.5, "run": -0.5, "double": -4.0, "join": -2.5}
 _SPACED = re.compile(r"(?<!\S)[^\s._*\-](?:[\s._*\-]++[^\s._*\-](?=[\s._*\-,;:!?]|$))++")
 _ALIKE = re.compile("[" + "".join(LOOKALIKES) + "]")
+_DOUBLE = re.compile(r"(.)\1+")
 _PLAIN = re.compile(r"(?:([^\W\d_])(?!\1))+")
 
 
@@ -97,6 +98,9 @@ def trigram_counts(text: str) -> np.ndarray:
     return np.bincount((s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:], minlength=SYMBOLS ** 3)
 
 
+_NOTHING: tuple[tuple[str, ...], tuple[str, ...]] = ((), ())
+
+
 @dataclass
 class Model:
     """``lm``: log-probability of a symbol after two. ``weights``: lexicon of
@@ -113,10 +117,12 @@ class Model:
 
     def __post_init__(self):
         self.kept: dict[str, tuple[str, ...]] = {}
-        self.sums: dict[str, tuple[str, ...]] = {}
+        self.sums: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {}
         self.longest = max((len(k.rstrip("$")) for k in self.weights), default=0)
         #: What a part of a lexicon word may begin with.
         self.stems = {k[:n] for k in (x.rstrip("$") for x in self.weights) for n in range(1, len(k))}
+        once = {_DOUBLE.sub(r"\1", k.rstrip("$")) for k in self.weights}
+        self.single = once | {k[:n] for k in once for n in range(1, len(k))}, once
 
     def __getstate__(self):
         return {**self.__dict__, "kept": {}, "sums": {}}
@@ -179,6 +185,14 @@ class Model:
         _, said = max(((s + (self.lm[a, b, 0] if b else 0.0), said) for (a, b), (s, said) in states.items()), key=lambda x: (x[0], x[1]))
         return tuple("".join([*shared, said]).split())
 
+    def concerns(self, word: str) -> bool:
+        """Whether a reading of a word of Latin letters, doubled ones as one or
+        two, can begin with or be part of a lexicon entry: all its readings are
+        alike with every doubled letter taken once."""
+        once = _DOUBLE.sub(r"\1", word)
+        parts, whole = self.single
+        return once in parts or any(once[:k] in whole for k in range(1, min(len(once), self.longest) + 1))
+
     def words(self, chunk: str) -> tuple[str, ...]:
         """Restored words of a run of non-blank characters, lower-case."""
         found = self.kept.get(chunk)
@@ -190,6 +204,8 @@ class Model:
                 before, behind = chunk[max(0, at - 1):at], chunk[at + len(core):]
                 near = (before if before in LEET else "") + core + ("$" if behind == "$" else "")
                 found = (core, *(() if near == core else self.decode(near)))
+            elif self.weights and chunk.isalpha() and not _ALIKE.search(chunk) and not self.concerns(chunk):
+                found = (chunk,)
             else:
                 bare = chunk.rstrip(".,;:?\"'").lstrip("\"'(")
                 forms = {t: None for t in (core, bare) if any(c.isalpha() or c in LEET for c in t)}
@@ -213,18 +229,26 @@ class Model:
         """Words of a run of single signs."""
         return set(self.decode(span, True))
 
-    def joined(self, tokens: list[str], distinct: set[str]) -> set[str]:
+    def told(self, token: str) -> tuple[tuple[str, ...], tuple[str, ...]]:
+        """Lexicon entries that a token's readings have, and its readings that
+        begin an entry."""
+        got = self.sums.get(token)
+        if got is None:
+            words = self.words(token)
+            got = (tuple(dict.fromkeys(h for w in words for h in self.hits(w))), tuple(w for w in words if w in self.stems))
+            if len(token) <= KEPT:
+                if len(self.sums) > 150_000:
+                    self.sums.clear()
+                self.sums[token] = got if got[0] or got[1] else _NOTHING
+        return got
+
+    def joined(self, tokens: list[str], begins: set[str]) -> set[str]:
         """Words that the lattice reads across blanks, of tokens that spell a
-        lexicon entry together. A part begins an entry and the next ones go on
+        lexicon entry together: one of ``begins`` and those behind that go on
         with it, so a span has no more tokens than the longest entry letters."""
-        begins = {c for c in distinct if any(w in self.stems for w in self.words(c))}
         out: set[str] = set()
-        if not begins:
-            return out
-        for i, c in enumerate(tokens):
-            if c not in begins:
-                continue
-            so_far, j = {w for w in self.words(c) if w in self.stems}, i + 1
+        for i in [i for i, c in enumerate(tokens) if c in begins] if begins else []:
+            so_far, j = set(self.told(tokens[i])[1]), i + 1
             while so_far and j < len(tokens):
                 longer = {(a, a + w) for a in so_far for w in self.words(tokens[j])}
                 if any(len(h.rstrip("$")) > len(a) for a, w in longer for h in self.hits(w)):
@@ -246,20 +270,16 @@ class Model:
         text = (text or "").lower()
         found: set[str] = set()
         tokens = text.split()
-        distinct = set(tokens)
-        for c in distinct:
-            got = self.sums.get(c)
-            if got is None:
-                got = tuple(dict.fromkeys(h for w in self.words(c) for h in self.hits(w)))
-                if len(c) <= KEPT:
-                    if len(self.sums) > 150_000:
-                        self.sums.clear()
-                    self.sums[c] = got
-            if got:
-                found.update(got)
+        begins: set[str] = set()
+        for c in set(tokens):
+            entries, starts = self.told(c)
+            if entries:
+                found.update(entries)
+            if starts:
+                begins.add(c)
         for m in _SPACED.finditer(text):
             found.update(h for w in self.unspaced(m[0]) for h in self.hits(w))
-        found.update(h for w in self.joined(tokens, distinct) for h in self.hits(w))
+        found.update(h for w in self.joined(tokens, begins) for h in self.hits(w))
         most, more = self.measures(found)
         z = self.base + self.most * most + self.more * more if found else self.base
         return 1 / (1 + math.exp(-z)) if z > -700 else 0.0

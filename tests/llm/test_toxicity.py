@@ -126,10 +126,10 @@ def test_words_in_parts():
     m = model(PROSE, {"idiot$": 5.0, "moro": 4.0})
     for t in ("id iot", "idi ot", "i d i0t", "1d iot", "id\n\niot", "the id i o t here", "mor on", "m0rо n"):
         tokens = t.split()
-        assert any(m.hits(w) for w in m.joined(tokens, set(tokens))) or any(m.hits(w) for w in m.restored(t)), t
+        assert any(m.hits(w) for w in m.joined(tokens, {c for c in tokens if m.told(c)[1]})) or any(m.hits(w) for w in m.restored(t)), t
     for t in ("the idea of it", "more on tuesday", "i do it", "mor the on", ""):
         tokens = t.split()
-        assert not any(m.hits(w) for w in m.joined(tokens, set(tokens))), t
+        assert not any(m.hits(w) for w in m.joined(tokens, {c for c in tokens if m.told(c)[1]})), t
 
 
 @pytest.mark.parametrize("spaced", [False, True])
@@ -165,3 +165,13 @@ def test_viterbi_finds_the_best_of_all_paths(spaced):
         best = max(s for s, _ in scored)
         got = m.decode(token, spaced)
         assert got in {tuple(said.split()) for s, said in scored if s > best - 1e-9}, token
+
+
+def test_words_that_no_reading_concerns_are_not_decoded():
+    """The short way for doubled letters gives the hits of the whole lattice."""
+    m = model(PROSE, {"idiot$": 5.0, "moro": 4.0, "loo": 3.0, "ass$": 2.0})
+    full = model(PROSE)
+    rng = random.Random(2)
+    for _ in range(3000):
+        word = "".join(rng.choice("idotmrnlas") * rng.choice([1, 1, 1, 2, 3]) for _ in range(rng.randrange(1, 7)))
+        assert {h for w in m.words(word) for h in m.hits(w)} == {h for w in full.words(word) for h in m.hits(w)}, word
