@@ -1,19 +1,25 @@
-"""Queries at the grain of households and of files: ranks and accumulation
-over all households, and CSV files of unlike headers read by name."""
+"""Queries over more than one table or grain: ranks and accumulation over all
+households, CSV files of unlike headers read by name, coverage in a context."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mesura import schemas as S
 from mesura.catalog import r6, register
+from mesura.etl_queries import _POP_SQL, _dw_total, _hh_total, _long_sql, _pop, years_dim
+from mesura.operators import territory
+from mesura.plans.context import FilterContext
+from mesura.plans.coverage import Model, ask_model
 from mesura.plans.evaluate import q, rounded
 from mesura.plans.prefix import Scratch, accumulated, dense_ranks
 from mesura.session import ensure_checkpoint_dir, join_path, path_exists
 from mesura.sources.files import read_csv_folder
 from mesura.sources.survey import _fingerprint, fact
-from mesura.sqlfact import with_fact
-from mesura.sqlmeasures import cnt, sdiv
+from mesura.sources.literals import age_band_dim, state_dim
+from mesura.sqlfact import lit, with_fact
+from mesura.sqlmeasures import SQL, cnt, sdiv, sdiv0
 
 
 # ---------------------------------------------------------------- M8, M11, O3
@@ -62,3 +68,68 @@ register("csv_by_name", with_fact(f"""
 SELECT anio, cod_mpio, count(*) AS records, CAST(sum(Edad) AS BIGINT) AS age_sum, count(Edad) AS ages,
   count(CASE WHEN anio % 3 <> 1 THEN estado END) AS states, {cnt("anio % 3 = 2 AND grupo_sisben = 'A'")} AS group_a
 FROM fact GROUP BY 1, 2"""))(csv_by_name)
+
+
+# ---------------------------------------------------------------- M12, J6, J7
+def survey_model(spark: SparkSession, sf_dir: str, **filters) -> Model:
+    f = fact(spark, sf_dir)
+    return Model(f, {"population": _pop(spark, sf_dir), "households": _hh_total(spark, sf_dir), "dwellings": _dw_total(spark, sf_dir)},
+                 {"territory": territory.territory_dim(spark, sf_dir), "years": years_dim(f), "age_band": age_band_dim(spark), "state": state_dim(spark)}, filters)
+
+
+COVERED = ["persons", "coverage_rate", "household_coverage", "population_coverage", "dwelling_coverage"]
+
+
+def coverage_in_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four coverage measures by year and municipality of three subregions
+    up to 1998, for the valid states and the age bands of adults: the year and
+    subregion reach both sides, the state the fact, the age band the
+    population."""
+    model = survey_model(spark, sf_dir, state=q("Categoria_Macro") == "Válido", age_band=q("Orden") >= 5)
+    ctx = FilterContext({"anio": q("anio") <= 1998, "Subregion": q("Subregion").isin("AFRICA", "ASIA", "EUROPE")})
+    return rounded(ask_model(model, ["anio", "Subregion", "Municipio"], COVERED, ctx))
+
+
+def coverage_by_subregion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same measures by subregion alone, the years filtered on their
+    dimension: ``coverage_rate`` takes the latest year's population."""
+    model = survey_model(spark, sf_dir, years=q("anio") <= 1998)
+    return rounded(ask_model(model, ["Subregion"], COVERED))
+
+
+_TERRITORY = "JOIN nation n ON p.cod_mpio = lpad(CAST(n.n_nationkey AS VARCHAR), 5, '0') JOIN region r ON n.n_regionkey = r.r_regionkey"
+_REGIONS = "('AFRICA', 'ASIA', 'EUROPE')"
+_VALID = ", ".join(str(c) for c, _, m in S.STATE_ROWS if m == "Válido")
+_ADULT = ", ".join(lit(t) for _, t in S.AGE_BANDS[4:])
+_SOURCES = (f"pop AS ({_POP_SQL})", f"hh AS ({_long_sql('Hogares_Proyectados', 'count(*)')})",
+            f"dw AS ({_long_sql('Viviendas_Proyectadas', 'count(DISTINCT ck)')})")
+
+
+def _projected(name: str, table: str, value: str, keys: str, where: str) -> str:
+    return f"{name} AS (SELECT {keys}, sum(p.{value}) AS v FROM {table} p {_TERRITORY} WHERE {where} GROUP BY ALL)"
+
+
+def _covered(f: str, population: str, latest: str) -> str:
+    return (f"f.persons, round({sdiv('f.persons', latest)}, 6) AS coverage_rate, round({sdiv0('f.households', 'h.v')}, 6) AS household_coverage, "
+            f"round({sdiv0('f.persons', population)}, 6) AS population_coverage, round({sdiv0('f.dwellings', 'd.v')}, 6) AS dwelling_coverage")
+
+
+_SIDE = f"{SQL['persons']} AS persons, {SQL['households']} AS households, {SQL['dwellings']} AS dwellings, max(anio) AS latest"
+_CELL = "p.anio AS y, n.n_name AS m"
+register("coverage_in_context", with_fact(
+    f"""SELECT f.anio, f.Subregion, f.Municipio, {_covered('f', 'pp.v', 'pp.v')}
+FROM side f LEFT JOIN pp ON pp.y = f.anio AND pp.m = f.Municipio LEFT JOIN h ON h.y = f.anio AND h.m = f.Municipio LEFT JOIN d ON d.y = f.anio AND d.m = f.Municipio""",
+    *_SOURCES,
+    f"side AS (SELECT anio, Subregion, Municipio, {_SIDE} FROM fact WHERE anio <= 1998 AND Subregion IN {_REGIONS} AND TRY_CAST(estado AS INTEGER) IN ({_VALID}) GROUP BY 1, 2, 3)",
+    _projected("pp", "pop", "Poblacion_Proyectada", _CELL, f"r.r_name IN {_REGIONS} AND p.Rango_Edad IN ({_ADULT})"),
+    _projected("h", "hh", "Hogares_Proyectados", _CELL, "p.Cod_clase = 0"), _projected("d", "dw", "Viviendas_Proyectadas", _CELL, "p.Cod_clase = 0")))(coverage_in_context)
+register("coverage_by_subregion", with_fact(
+    f"""SELECT f.Subregion, {_covered('f', 'pp.v', 'pl.v')}
+FROM side f LEFT JOIN pp ON pp.s = f.Subregion LEFT JOIN pl ON pl.s = f.Subregion AND pl.y = f.latest LEFT JOIN h ON h.s = f.Subregion LEFT JOIN d ON d.s = f.Subregion""",
+    *_SOURCES,
+    f"side AS (SELECT Subregion, {_SIDE} FROM fact WHERE anio <= 1998 GROUP BY 1)",
+    "yrs AS (SELECT DISTINCT anio FROM fact WHERE anio <= 1998)",
+    _projected("pp", "pop", "Poblacion_Proyectada", "r.r_name AS s", "p.anio IN (SELECT anio FROM yrs)"),
+    _projected("pl", "pop", "Poblacion_Proyectada", "r.r_name AS s, p.anio AS y", "true"),
+    _projected("h", "hh", "Hogares_Proyectados", "r.r_name AS s", "p.Cod_clase = 0 AND p.anio IN (SELECT anio FROM yrs)"),
+    _projected("d", "dw", "Viviendas_Proyectadas", "r.r_name AS s", "p.Cod_clase = 0 AND p.anio IN (SELECT anio FROM yrs)")))(coverage_by_subregion)
