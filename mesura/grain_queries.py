@@ -1,5 +1,7 @@
 """Queries over more than one table or grain: ranks and accumulation over all
-households, CSV files of unlike headers read by name, coverage in a context."""
+households, CSV files of unlike headers read by name, coverage in a context,
+totals of any measure at several grains, and row rules with the rows that
+break them."""
 
 from __future__ import annotations
 
@@ -9,10 +11,11 @@ from pyspark.sql import functions as F
 from mesura import schemas as S
 from mesura.catalog import r6, register
 from mesura.etl_queries import _POP_SQL, _dw_total, _hh_total, _long_sql, _pop, years_dim
-from mesura.operators import territory
+from mesura.operators import quality, territory
 from mesura.plans.context import FilterContext
 from mesura.plans.coverage import Model, ask_model
 from mesura.plans.evaluate import q, rounded
+from mesura.plans.totals import evaluate_sets
 from mesura.plans.prefix import Scratch, accumulated, dense_ranks
 from mesura.session import ensure_checkpoint_dir, join_path, path_exists
 from mesura.sources.files import read_csv_folder
@@ -133,3 +136,70 @@ FROM side f LEFT JOIN pp ON pp.s = f.Subregion LEFT JOIN pl ON pl.s = f.Subregio
     _projected("pl", "pop", "Poblacion_Proyectada", "r.r_name AS s, p.anio AS y", "true"),
     _projected("h", "hh", "Hogares_Proyectados", "r.r_name AS s", "p.Cod_clase = 0 AND p.anio IN (SELECT anio FROM yrs)"),
     _projected("d", "dw", "Viviendas_Proyectadas", "r.r_name AS s", "p.Cod_clase = 0 AND p.anio IN (SELECT anio FROM yrs)")))(coverage_by_subregion)
+
+
+# ---------------------------------------------------------------- totals of any measure
+SETS = [["anio", "Subregion", "grupo_sisben"], ["anio", "Subregion"], ["Subregion", "grupo_sisben"], []]
+SET_KEYS = ["anio", "Subregion", "grupo_sisben"]
+SET_MEASURES = ["persons", "households", "distinct_classes", "max_year", "mpi_rate", "household_size", "mean_rooms", "deprivation_gap", "pct_i3", "group_a", "pct_a"]
+
+
+def totals_by_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, ratios, means and distinct counts at four grains, for the groups
+    A to C. Measures with a filter on the group of their own replace that of
+    the context and of the key."""
+    return rounded(evaluate_sets(fact(spark, sf_dir), SETS, SET_MEASURES, FilterContext.of(grupo_sisben=["A", "B", "C"])))
+
+
+def _set_sql(keys: list[str]) -> str:
+    """One of the four sets: its rows, and those of the replaced filter."""
+    rest = [k for k in keys if k != "grupo_sisben"]
+    side = ", ".join([*rest, f"{SQL['group_a']} AS group_a"])
+    own = ", ".join([*keys, *[f"{SQL[m]} AS {m}" for m in SET_MEASURES if m not in ("group_a", "pct_a")]])
+    by = lambda c: f" GROUP BY {', '.join(c)}" if c else ""
+    on = " AND ".join([f"m.{k} IS NOT DISTINCT FROM s.{k}" for k in rest] or ["true"])
+    marks = ", ".join(f"{'m.' + k if k in keys else 'NULL'} AS {k}, {str(k not in keys).lower()} AS {k}_total" for k in SET_KEYS)
+    values = ", ".join(f"round(m.{m}, 6) AS {m}" if m in ("mpi_rate", "household_size", "mean_rooms", "deprivation_gap", "pct_i3") else f"m.{m}"
+                       for m in SET_MEASURES if m not in ("group_a", "pct_a"))
+    return (f"SELECT {marks}, {values}, s.group_a, round({sdiv('s.group_a', 'm.persons')}, 6) AS pct_a "
+            f"FROM (SELECT {own} FROM fact WHERE grupo_sisben IN ('A', 'B', 'C'){by(keys)}) m LEFT JOIN (SELECT {side} FROM fact{by(rest)}) s ON {on}")
+
+
+register("totals_by_sets", with_fact("\nUNION ALL\n".join(map(_set_sql, SETS))))(totals_by_sets)
+
+
+# ---------------------------------------------------------------- row rules
+def _rules_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.with_known_keys(fact(spark, sf_dir), spark, territory.territory_dim(spark, sf_dir))
+
+
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows checked and broken for each of fifteen row rules and year."""
+    return quality.rule_counts(_rules_rows(spark, sf_dir), quality.survey_rules(), ["anio"])
+
+
+def quality_broken_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written table of rows that break a rule, counted by what they break."""
+    rows = quality.broken_rows(_rules_rows(spark, sf_dir), quality.survey_rules(), ["anio", "cod_mpio", "household_key"])
+    written = Scratch(spark, "quality").write(rows, "broken")
+    return written.groupBy("anio", F.array_join("broken_rules", ",").alias("broken_rules")).agg(F.count(F.lit(1)).alias("records"))
+
+
+#: The rules once more, in SQL: name, kind, broken.
+_RULES_SQL = (
+    ("age_missing", "missing", "Edad IS NULL"), ("group_missing", "missing", "grupo_sisben IS NULL"), ("state_missing", "missing", "estado IS NULL"),
+    ("age_out_of_range", "range", "Edad NOT BETWEEN 0 AND 97"), ("spending_negative", "range", "vlr_total_gastos < 0"),
+    ("rooms_out_of_range", "range", "num_cuartos_vivienda NOT BETWEEN 1 AND 20"), ("sex_code", "code", "sexo_persona NOT IN (1, 2)"),
+    ("area_code", "code", "Cod_clase NOT IN (1, 2, 3)"), ("state_not_numeric", "code", "estado IS NOT NULL AND TRY_CAST(estado AS INTEGER) IS NULL"),
+    ("head_under_age", "cross", "tip_parentesco = 1 AND Edad < 15"), ("more_bedrooms_than_rooms", "cross", "num_cuartos_dormir > num_cuartos_vivienda"),
+    ("more_events_than_flagged", "cross", "ind_evento_inundacion = 2 AND num_evento_inundacion > 0"),
+    ("group_against_class", "cross", "grupo_sisben <> substring(Clasificacion, 1, 1)"),
+    ("state_unknown", "key", f"estado IS NOT NULL AND coalesce(TRY_CAST(estado AS INTEGER) NOT IN ({', '.join(str(c) for c, _, _ in S.STATE_ROWS)}), true)"),
+    ("municipality_unknown", "key", "cod_mpio NOT IN (SELECT lpad(CAST(n_nationkey AS VARCHAR), 5, '0') FROM nation)"),
+)
+register("quality_rules", with_fact("\nUNION ALL\n".join(
+    f"SELECT anio, '{name}' AS rule, '{kind}' AS kind, count({x}) AS checked, count(*) FILTER (WHERE {x}) AS broken FROM fact GROUP BY 1"
+    for name, kind, x in _RULES_SQL)))(quality_rules)
+register("quality_broken_rows", with_fact(
+    "SELECT anio, broken_rules, count(*) AS records FROM (SELECT anio, concat_ws(',', " + ", ".join(f"CASE WHEN {x} THEN '{name}' END" for name, _, x in _RULES_SQL) +
+    ") AS broken_rules FROM fact) t WHERE broken_rules <> '' GROUP BY 1, 2"))(quality_broken_rows)

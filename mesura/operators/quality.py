@@ -1,11 +1,12 @@
-"""Data-quality audits: cross-tab counts (A2), schema conformance (Q1) and
-the data-state audit against the state dimension (Q2, J2)."""
+"""Data-quality audits: cross-tab counts (A2), schema conformance (Q1), the
+data-state audit against the state dimension (Q2, J2) and row rules."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,3 +65,59 @@ def quality_categories(fact: DataFrame, spark: SparkSession, keys: Sequence[str]
         F.nullif(F.count_if(cat == "Verificación"), F.lit(0)).alias("persons_to_verify"),
         F.nullif(F.count_if(cat == "Excluido"), F.lit(0)).alias("persons_excluded"),
         F.nullif(F.count_if(cat.isNull()), F.lit(0)).alias("persons_unknown_state"))
+
+
+@dataclass(frozen=True)
+class RowRule:
+    """A row breaks the rule where ``broken`` is true; where it is null (a
+    value it compares is missing) the row is not checked. ``kind`` is missing,
+    range, code, cross (columns against each other) or key (a dimension has
+    not the key)."""
+
+    name: str
+    kind: str
+    broken: Column
+
+
+def survey_rules() -> tuple[RowRule, ...]:
+    """The survey's rules; those on keys need ``with_known_keys``."""
+    return (
+        RowRule("age_missing", "missing", q("Edad").isNull()),
+        RowRule("group_missing", "missing", q("grupo_sisben").isNull()),
+        RowRule("state_missing", "missing", q("estado").isNull()),
+        RowRule("age_out_of_range", "range", ~q("Edad").between(0, 97)),
+        RowRule("spending_negative", "range", q("vlr_total_gastos") < 0),
+        RowRule("rooms_out_of_range", "range", ~q("num_cuartos_vivienda").between(1, 20)),
+        RowRule("sex_code", "code", ~q("sexo_persona").isin(1, 2)),
+        RowRule("area_code", "code", ~q("Cod_clase").isin(1, 2, 3)),
+        RowRule("state_not_numeric", "code", q("estado").isNotNull() & q("estado").try_cast("int").isNull()),
+        RowRule("head_under_age", "cross", (q("tip_parentesco") == 1) & (q("Edad") < 15)),
+        RowRule("more_bedrooms_than_rooms", "cross", q("num_cuartos_dormir") > q("num_cuartos_vivienda")),
+        RowRule("more_events_than_flagged", "cross", (q("ind_evento_inundacion") == 2) & (q("num_evento_inundacion") > 0)),
+        RowRule("group_against_class", "cross", q("grupo_sisben") != F.substring(q("Clasificacion"), 1, 1)),
+        RowRule("state_unknown", "key", q("estado").isNotNull() & q("__state").isNull()),
+        RowRule("municipality_unknown", "key", q("__municipality").isNull()),
+    )
+
+
+def with_known_keys(fact: DataFrame, spark: SparkSession, territory: DataFrame) -> DataFrame:
+    """``fact`` with the state's and the municipality's keys as their
+    dimensions have them, null where they have not."""
+    states = state_dim(spark).select(q("Cod_Estado").alias("__state"))
+    known = territory.select(q("cod_mpio").alias("__municipality"))
+    return (fact.join(states, q("estado").try_cast("int") == q("__state"), "left")
+                .join(known, q("cod_mpio") == q("__municipality"), "left"))
+
+
+def rule_counts(rows: DataFrame, rules: Sequence[RowRule], keys: Sequence[str]) -> DataFrame:
+    """One row for each member of ``keys`` and rule: rows checked and rows that
+    break it. All rules are counted in one scan and one aggregate."""
+    made = [F.struct(F.lit(r.name).alias("rule"), F.lit(r.kind).alias("kind"), F.count(r.broken).alias("checked"), F.count_if(r.broken).alias("broken")) for r in rules]
+    counted = rows.groupBy(*map(q, keys)).agg(F.array(*made).alias("rules"))
+    return counted.select(*map(q, keys), F.inline("rules"))
+
+
+def broken_rows(rows: DataFrame, rules: Sequence[RowRule], columns: Sequence[str]) -> DataFrame:
+    """The rows that break a rule, with the names of those they break."""
+    names = F.filter(F.array(*[F.when(r.broken, F.lit(r.name)) for r in rules]), lambda x: x.isNotNull())
+    return rows.select(*map(q, columns), names.alias("broken_rules")).filter(F.size("broken_rules") > 0)
