@@ -120,9 +120,13 @@ class Model:
         self.sums: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {}
         self.longest = max((len(k.rstrip("$")) for k in self.weights), default=0)
         #: What a part of a lexicon word may begin with.
-        self.stems = {k[:n] for k in (x.rstrip("$") for x in self.weights) for n in range(1, len(k))}
+        self.stems: dict[str, set[str]] = {}  # with the letters that an entry goes on with
+        for k in (x.rstrip("$") for x in self.weights):
+            for n in range(1, len(k)):
+                self.stems.setdefault(k[:n], set()).add(k[n])
         once = {_DOUBLE.sub(r"\1", k.rstrip("$")) for k in self.weights}
         self.single = once | {k[:n] for k in once for n in range(1, len(k))}, once
+        self.heads = {k[:3] for k in once}
 
     def __getstate__(self):
         return {**self.__dict__, "kept": {}, "sums": {}}
@@ -229,12 +233,21 @@ class Model:
         """Words of a run of single signs."""
         return set(self.decode(span, True))
 
+    def apart(self, token: str) -> bool:
+        """Whether a token of Latin letters begins with three, doubled letters
+        taken once, that no lexicon entry begins with: no reading of it can hit
+        or begin an entry."""
+        if not token.isalpha() or _ALIKE.search(token):
+            return False
+        once = _DOUBLE.sub(r"\1", token)
+        return len(once) > 2 and not any(once[:k] in self.heads for k in (1, 2, 3))
+
     def told(self, token: str) -> tuple[tuple[str, ...], tuple[str, ...]]:
         """Lexicon entries that a token's readings have, and its readings that
         begin an entry."""
         got = self.sums.get(token)
         if got is None:
-            words = self.words(token)
+            words = () if self.apart(token) else self.words(token)
             got = (tuple(dict.fromkeys(h for w in words for h in self.hits(w))), tuple(w for w in words if w in self.stems))
             if len(token) <= KEPT:
                 if len(self.sums) > 150_000:
@@ -250,7 +263,7 @@ class Model:
         for i in [i for i, c in enumerate(tokens) if c in begins] if begins else []:
             so_far, j = set(self.told(tokens[i])[1]), i + 1
             while so_far and j < len(tokens):
-                longer = {(a, a + w) for a in so_far for w in self.words(tokens[j])}
+                longer = {(a, a + w) for w in self.words(tokens[j]) for a in so_far if w[0] in self.stems[a]}
                 if any(len(h.rstrip("$")) > len(a) for a, w in longer for h in self.hits(w)):
                     out.update(self.decode(" ".join(tokens[i:j + 1])))
                 so_far, j = {w for _, w in longer if w in self.stems}, j + 1

@@ -174,4 +174,5 @@ def test_words_that_no_reading_concerns_are_not_decoded():
     rng = random.Random(2)
     for _ in range(3000):
         word = "".join(rng.choice("idotmrnlas") * rng.choice([1, 1, 1, 2, 3]) for _ in range(rng.randrange(1, 7)))
-        assert {h for w in m.words(word) for h in m.hits(w)} == {h for w in full.words(word) for h in m.hits(w)}, word
+        assert {h for w in m.words(word) for h in m.hits(w)} == set(m.told(word)[0]) == {h for w in full.words(word) for h in m.hits(w)}, word
+        assert set(m.told(word)[1]) == {w for w in full.words(word) if w in m.stems}, word
