@@ -14,14 +14,24 @@ from mesura.llm import language_id, near_dedup, packing, toxicity
 from mesura.llm.common import doc_split, read_table, shared_table, ship
 
 
+def unused(name: str, docs: DataFrame) -> str:
+    """``name``, longer where ``docs`` has such a column (whatever its case)."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose toxicity is below the threshold. Labels of rows with
-    crc32(doc_id) divisible by 5 are not learned from."""
+    crc32(doc_id) divisible by 5 are not learned from. Null and empty texts
+    have the score of a text without hits; rows that repeat are kept or go
+    each for itself; very long texts are read whole."""
     ship(spark)
     p = toxicity.Params()
     labels = read_table(spark, sf_dir, "labels").filter(doc_split("doc_id", 5) != 0)
     model = toxicity.fit(docs, labels, p)
-    score = "__toxicity"
+    score = unused("__toxicity", docs)
     return toxicity.scored(docs, model, to=score).filter(F.col(score) < p.threshold).select(*docs.columns)
 
 
@@ -30,7 +40,7 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     one without a letter go."""
     ship(spark)
     profiles = language_id.fit(docs.filter(doc_split("doc_id", 4) != 2))
-    lang, score = "__language", "__language_score"
+    lang, score = unused("__language", docs), unused("__language_score", docs)
     return language_id.predicted(docs, profiles, to=lang, score=score).filter(F.col(lang) != language_id.UNKNOWN).select(*docs.columns)
 
 
@@ -39,15 +49,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     id, and of rows that repeat that id the one with the least text. Rows with
     a null id stay."""
     ship(spark)
-    kept = near_dedup.near_duplicates(docs).filter("kept and doc_id is not null").select(F.col("doc_id").alias("__kept")).distinct()
-    rows = docs.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    one = rows.withColumn("__nth", nth).filter(F.col("__nth") == 1).select(*docs.columns)
+    own, nth = unused("__kept", docs), unused("__nth", docs)
+    kept = near_dedup.near_duplicates(docs).filter("kept and doc_id is not null").select(F.col("doc_id").alias(own)).distinct()
+    rows = docs.join(kept, F.col("doc_id") == F.col(own), "left_semi")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    one = rows.withColumn(nth, first).filter(F.col(nth) == 1).select(*docs.columns)
     return one.union(docs.filter(F.col("doc_id").isNull()))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents and their places in sequences."""
+    """Pieces of all documents and their places in sequences. A null or empty
+    text is the end id alone; rows that repeat are packed each for itself."""
     ship(spark)
     return packing.pack(docs)
 

@@ -132,6 +132,8 @@ def predicted(docs: DataFrame, profiles: Profiles, text_col: str = "text", to: s
         return pd.DataFrame([p.predict(t) for t in texts], columns=["lang", "score"])
 
     tmp = "__language_of_text"
+    while tmp in {c.lower() for c in docs.columns}:
+        tmp += "_"
     return docs.withColumn(tmp, predict(F.col(text_col).cast("string"))).withColumn(to, F.col(tmp + ".lang")).withColumn(score, F.col(tmp + ".score")).drop(tmp)
 
 

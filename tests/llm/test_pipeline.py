@@ -28,7 +28,7 @@ def con():
 def test_registered():
     names = set(E.queries())
     assert {n for n in names if n.startswith("op")} >= set(catalog.QUERIES) and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 14))
     assert len(C.STAGES) == 4 and C.ORACLE_SQL is None
 
 
@@ -93,3 +93,12 @@ def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert C.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_keep_columns_that_clash_with_their_own(spark):
+    rows = [(k, f"the river runs under a bridge near {'ab' * (k % 3)} house number {k % 4}", "en", "x", k, k, k) for k in range(12)] + [(None, None, None, None, 0, 0, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, __toxicity string, __Language int, __kept int, __nth int")
+    for _, stage in C.STAGES[:3]:
+        got = stage(spark, docs, SF)
+        assert got.columns == docs.columns
+        assert all(tuple(r) in rows for r in got.collect())
