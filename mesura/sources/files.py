@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _files(spark: SparkSession, folder: str) -> list[str]:
+def list_files(spark: SparkSession, folder: str) -> list[str]:
     """Data files under ``folder`` (a folder, file or glob), as its file system
     lists them; names with a leading ``_`` or ``.`` are no data."""
     root = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -44,7 +44,7 @@ def csv_headers(spark: SparkSession, folder: str, sep: str = ";", encoding: str
     gets its place behind it. Files without a line are left out. One line of
     each file is read, on the driver; files are listed, not scanned."""
     found: dict[tuple[str, ...], list[str]] = {}
-    for file in _files(spark, folder):
+    for file in list_files(spark, folder):
         line = _first_line(spark, file, encoding)
         if line is not None:
             names: list[str] = []

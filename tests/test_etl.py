@@ -76,17 +76,16 @@ def test_export_writes_the_linked_files(spark, tmp_path):
     df = spark.createDataFrame(rows, "cod_mpio string, anio long, v long").where("anio = 2020")
     out = str(tmp_path / "export")
     export.write_extract(spark, df, {"05001": "San José", "05002": "La Ceja"}, out, max_records=20)
-    files = {r["file_name"] for r in export.written_files(spark, out).collect()}
-    assert {"mpio_05001_SAN_JOSE_ultimo_anio.csv", "mpio_05002_LA_CEJA_ultimo_anio.csv", "mpio_05003_COD05003_ultimo_anio.csv"} <= files
+    files = {r["file_name"]: r["path"] for r in export.written_files(spark, out).collect()}
+    assert {"mpio_05001_SAN_JOSE_ultimo_anio.csv", "mpio_05002_LA_CEJA_ultimo_anio.csv", "mpio_05003_COD05003_ultimo_anio.csv"} <= set(files)
     assert sum("05001" in f for f in files) >= 3  # a large municipality has several files
     cat = {r["cod_mpio"]: r for r in export.catalogue(export.written_files(spark, out), "https://x/").collect()}
     assert [cat[k]["nom_mpio"] for k in sorted(cat)] == ["SAN JOSE", "LA CEJA", "COD05003"]
     for r in cat.values():
         name = r["Url_Descarga"].removeprefix("https://x/").removesuffix("?download=1")
-        assert os.path.exists(f"{out}/{name}")
-        head = open(f"{out}/{name}", encoding="utf-8").readline().strip()
+        head = open(f"{out}/{files[name]}", encoding="utf-8").readline().strip()
         assert head == "cod_mpio,anio,v"
-    back = spark.read.option("header", True).csv(f"{out}/mpio_*.csv")
+    back = spark.read.option("header", True).csv(f"{out}/run-*/mpio_*.csv")
     assert back.count() == 54 and back.where("cod_mpio = '05001'").count() == 50
     assert cat["05001"]["Url_Informe"] == "informe_05001_SAN_JOSE.pdf?download=1"
 
