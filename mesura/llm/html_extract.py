@@ -34,12 +34,15 @@ from mesura.llm.common import read_table, register
 @dataclass(frozen=True)
 class Params:
     """``pages`` of at most ``page_chars`` characters are trained on, in order
-    of a hash of the id, and on ``skeletons`` generated ones of their texts. ``paths``
+    of a hash of the id, and on ``skeletons`` generated ones of their texts.
+    Of the pages, those of more than ``page_blocks`` blocks give their texts to
+    the skeletons alone; all pages are labelled, whatever their blocks. ``paths``
     and ``words`` are hash sizes, ``width`` that of a hashed vector, ``hidden``
     of each direction."""
 
     pages: int = 300
     page_chars: int = 100_000
+    page_blocks: int = 400
     skeletons: int = 900
     paths: int = 1024
     words: int = 1024
@@ -433,7 +436,7 @@ def training_set(pages: list[str], p: Params) -> tuple[list[list[Block]], list[n
     for page in pages:
         own = blocks(page, p.paths)
         y = silver(own)
-        if y is not None and len(own) <= 400:
+        if y is not None and len(own) <= p.page_blocks:
             xs.append(own)
             ys.append(y)
             mains.append([b.text for b, k in zip(own, y) if k])

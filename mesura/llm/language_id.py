@@ -32,12 +32,12 @@ UNKNOWN = "und"
 class Params:
     """``length``: n-grams of a profile. ``rows``: labelled rows a language
     that the profiles are counted on, chosen by a hash of the id (expected
-    number; all, if fewer). ``languages`` bounds the model: of more values of
-    lang the most frequent are learned."""
+    number; all, if fewer). All values of lang are learned; with more than
+    ``languages`` of them the column holds no languages, which is an error."""
 
     length: int = 400
     rows: int = 4000
-    languages: int = 1000
+    languages: int = 20_000
 
 
 _LETTER: list[np.ndarray] = []
@@ -70,15 +70,17 @@ def ngrams(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Profiles:
-    """Ranks of the n-grams of each language, in order of the languages."""
+    """For each n-gram the languages that have it, in order of the languages,
+    and its ranks in them."""
 
     def __init__(self, lists: dict[str, list[int]], length: int):
         self.names, self.length = sorted(lists), length
-        self.grams = np.unique(np.array([g for x in lists.values() for g in x], np.int64))
-        self.ranks = np.full((len(self.grams) + 1, len(self.names)), -1, np.int64)
-        for k, name in enumerate(self.names):
-            x = np.array(lists[name], np.int64)
-            self.ranks[np.searchsorted(self.grams, x), k] = np.arange(len(x))
+        grams = np.array([g for name in self.names for g in lists[name]], np.int64)
+        order = np.argsort(grams, kind="stable")
+        self.grams, first = np.unique(grams[order], return_index=True)
+        self.first = np.append(first, len(grams))
+        self.langs = np.repeat(np.arange(len(self.names)), [len(lists[name]) for name in self.names])[order]
+        self.ranks = np.concatenate([np.arange(len(lists[name])) for name in self.names] or [np.zeros(0, np.int64)])[order]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and 1 minus its share of the largest distance; equal
@@ -88,18 +90,25 @@ class Profiles:
             return UNKNOWN, 0.0
         top = np.argsort(-n, kind="stable")[:self.length]
         g = g[top]
-        at = np.searchsorted(self.grams, g)
-        known = (at < len(self.grams)) & (self.grams[np.minimum(at, len(self.grams) - 1)] == g)
-        ranks = self.ranks[np.where(known, at, -1)]
-        far = np.where(ranks < 0, self.length, np.abs(ranks - np.arange(len(g))[:, None])).sum(axis=0)
+        at = np.minimum(np.searchsorted(self.grams, g), len(self.grams) - 1)
+        place = np.flatnonzero(self.grams[at] == g)
+        at = at[place]
+        held = self.first[at + 1] - self.first[at]
+        entry = np.arange(held.sum()) + np.repeat(self.first[at] - np.cumsum(held) + held, held)
+        near = self.length - np.abs(self.ranks[entry] - np.repeat(place, held))  # what an n-gram in the profile spares of the largest distance
+        far = self.length * len(g) - np.bincount(self.langs[entry], near, len(self.names))
         best = int(np.argmin(far))
         return self.names[best], float(1 - far[best] / (self.length * len(g)))
 
 
 def fit(docs: DataFrame, p: Params = Params(), text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Profiles:
-    """Profiles of the non-null languages of ``docs``."""
+    """Profiles of all non-null languages of ``docs``."""
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).filter("lang is not null")
-    known = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(p.languages)
+    found = rows.groupBy("lang").count().limit(p.languages + 1).collect()
+    if len(found) > p.languages:
+        raise ValueError(f"{lang_col} has more than {p.languages} values")
+    known = spark.createDataFrame(found, "lang string, count long")
     share = F.lit(2.0 ** 62) * 2 * F.least(F.lit(1.0), F.lit(float(p.rows)) / F.col("count"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,11 +121,11 @@ def fit(docs: DataFrame, p: Params = Params(), text_col: str = "text", lang_col:
         for lang, own in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own), pa.string()), pa.array(own.keys(), pa.int64()), pa.array(own.values(), pa.int64())], names=["lang", "g", "n"])
 
-    # at most Params.languages rows
+    # at most Params.languages rows, checked above
     sample = (rows.join(F.broadcast(known), "lang").filter(F.abs(F.xxhash64("id", F.lit(7))).cast("double") <= share).select("lang", "text"))
     summed = sample.mapInArrow(count, "lang string, g long, n long").groupBy("lang", "g").agg(F.sum("n").alias("n"))
     order = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "g"))
-    lists: dict[str, list[int]] = {r[0]: [] for r in known.collect()}
+    lists: dict[str, list[int]] = {r[0]: [] for r in found}
     for r in summed.withColumn("r", order).filter(F.col("r") <= p.length).select("lang", "g", "r").orderBy("lang", "r").collect():
         lists[r[0]].append(r[1])
     return Profiles({k: v for k, v in lists.items() if v}, p.length)
@@ -143,8 +152,9 @@ def languages(docs: DataFrame, p: Params = Params()) -> DataFrame:
     Profiles come from the text and lang of rows that are not held out (crc32
     of the id as text modulo 4 is 2); a null id is held out of learning, not
     marked so. A null text, one without a letter, or no learned language at
-    all: ``und`` with score 0. Other columns are not read. An empty table
-    gives an empty result.
+    all: ``und`` with score 0. Rows that repeat are judged, and learned from, each for
+    itself; texts are read whole, whatever their length. Other columns are not
+    read. An empty table gives an empty result.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     profiles = fit(rows.filter(doc_split("doc_id", 4) != 2), p)

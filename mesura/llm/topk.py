@@ -125,7 +125,8 @@ def top_k(vectors: DataFrame, is_query, p: Params = Params(), id_col: str = "vec
     Null ids, null vectors and vectors with a null or non-finite component
     take no part; vectors of different lengths meet only their like. Rows that
     repeat an id are one row if the vectors are equal; else each counts. Other
-    columns are not read. An empty table gives an empty result.
+    columns are not read. An empty table gives an empty result. Scores are
+    longs: components so large that a score could leave 2**60 are an error.
     """
     spark = vectors.sparkSession
     rows = quantised(vectors, p.scale, id_col, vec_col)
@@ -134,14 +135,17 @@ def top_k(vectors: DataFrame, is_query, p: Params = Params(), id_col: str = "vec
     firsts = rows.distinct().withColumn("nth", F.row_number().over(ordered)).filter(F.col("nth") <= p.k + 1)
     classes = firsts.groupBy("v").agg(F.min("vec_id").alias("class"), F.sort_array(F.collect_list("vec_id")).alias("ids"))  # k + 1 ids at most
     classes = shared_table(spark, classes, "classes")
-    # a repeated id can lead two classes; number them
+    facts = classes.agg(F.count(F.lit(1)).alias("n"), F.max(F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))).alias("big"), F.max(F.size("v")).alias("width")).first()
+    if (facts["big"] or 0.0) ** 2 * max(1, facts["width"] or 0) * p.parts >= 2.0 ** 60:
+        raise ValueError(f"components up to {facts['big']:.3g} / {p.scale} in {facts['width']} dimensions: their scores are no longs")
+    # a repeated id can lead two classes; number them (the numbers are written, so they stay)
     twice = classes.groupBy("class").count().filter("count > 1")
     if not twice.isEmpty():
-        classes = shared_table(spark, classes.withColumn("class", F.xxhash64("v")), "classes")
+        classes = shared_table(spark, classes.withColumn("class", F.monotonically_increasing_id()), "numbered")
     asked = rows.filter(is_query(F.col("vec_id"))).join(classes.select("v", "class"), "v").select(F.col("vec_id").alias("query_id"), F.col("class").alias("qc")).distinct()
     # written apart: both sides of a cogroup must not share columns
     queries = shared_table(spark, classes.join(asked.select(F.col("qc").alias("class")).distinct(), "class", "left_semi").select(F.col("class").alias("qc"), "v", F.size("v").alias("d")), "queries")
-    n, m = classes.count(), queries.count()
+    n, m = facts["n"], queries.count()
     cells, blocks = max(1, math.ceil(n / p.cell)), max(1, math.ceil(m / p.block))
     # vectors of another length never meet: the length is part of the key
     left = (classes.select(F.col("class").alias("cc"), "v", F.size("v").alias("d"), F.pmod(F.xxhash64("v", F.lit(1)), F.lit(cells)).alias("cell"))
@@ -159,7 +163,7 @@ def top_k(vectors: DataFrame, is_query, p: Params = Params(), id_col: str = "vec
     bound = (listed.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= p.k + 1)
              .groupBy("qc").agg(F.min("score").alias("low"), F.count(F.lit(1)).alias("n")))
     # fewer classes than k + 1: all of them are wanted
-    bound = shared_table(spark, bound.select("qc", F.when(F.col("n") > p.k, F.col("low")).otherwise(F.lit(-(1 << 62))).alias("bound")), "bounds")
+    bound = shared_table(spark, bound.select("qc", F.when(F.col("n") > p.k, F.col("low")).otherwise(F.lit(-((1 << 61) // p.parts))).alias("bound")), "bounds")
     # 2 and 3
     sent = nodes(right.join(bound, "qc"), _reaching(p.parts))
     known = sent.groupBy("qc", "cc").agg(F.sum("s").alias("s"), F.count(F.lit(1)).alias("n")).join(bound, "qc")

@@ -2,6 +2,8 @@ import random
 import zlib
 from collections import Counter
 
+import pytest
+
 from mesura.llm import language_id as L
 
 WORDS = {"en": "the and of to in that was with for his they this have from".split(), "de": "der die und das nicht ein ist sich auf für mit dem über schön".split(),
@@ -75,3 +77,14 @@ def test_sample_is_bounded(spark):
     rows = [(k, "the and of", "en") for k in range(2000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert L.fit(df, L.Params(rows=100)).names == ["en"]
+
+
+def test_all_languages_are_learned(spark):
+    # 1,500 languages, a letter pair each: none is left out, and too many are an error
+    letters = [chr(0x4e00 + k) for k in range(1500)]
+    rows = [(k * 4, f"{c}{c}{c}", f"l{k:04}") for k, c in enumerate(letters)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = L.fit(df)
+    assert len(profiles.names) == 1500 and all(profiles.predict(f"{c}{c}")[0] == f"l{k:04}" for k, c in enumerate(letters))
+    with pytest.raises(ValueError):
+        L.fit(df, L.Params(languages=1499))

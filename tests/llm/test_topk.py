@@ -1,6 +1,8 @@
 import math
 import random
 
+import pytest
+
 from mesura.llm import topk as K
 
 SCHEMA = "vec_id long, embedding array<float>, label int, v string, score string"
@@ -54,3 +56,9 @@ def test_few_rows_and_empty_table(spark):
     assert run(spark, []) == []
     assert run(spark, [(0, [1.0])]) == []
     assert run(spark, [(0, [1.0]), (1, [2.0])]) == [(0, 1, 1, 256 * 512)]
+
+
+def test_scores_beyond_longs_are_an_error(spark):
+    with pytest.raises(ValueError):
+        run(spark, [(0, [1e30, 1.0]), (1, [1.0, 1.0])])
+    assert run(spark, [(0, [1.0, 2.0]), (1, [2.0, 1.0])], K.Params(parts=4)) == [(0, 1, 1, 4 * 65536)]
