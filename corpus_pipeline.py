@@ -36,12 +36,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows with a text in which a learned language is found; a null text and
-    one without a letter go."""
+    """Rows with a text in which a learned language is found; a null text, one
+    without a letter and one whose distance is the largest there is (score 0:
+    none of its n-grams is in any profile, as in a script that no language
+    has) go. Rows that repeat are kept or go each for itself; very long texts
+    are read whole."""
     ship(spark)
     profiles = language_id.fit(docs.filter(doc_split("doc_id", 4) != 2))
     lang, score = unused("__language", docs), unused("__language_score", docs)
-    return language_id.predicted(docs, profiles, to=lang, score=score).filter(F.col(lang) != language_id.UNKNOWN).select(*docs.columns)
+    named = (F.col(lang) != language_id.UNKNOWN) & (F.col(score) > 0)
+    return language_id.predicted(docs, profiles, to=lang, score=score).filter(named).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

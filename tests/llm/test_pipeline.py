@@ -49,7 +49,7 @@ def fixture(spark, tmp_path):
             words[3:3] = ["moron", "scum"]
         rows.append((k, " ".join(words), "en", "s", 1))
         labels.append((k, 1, int(k % 4 == 0)))
-    rows += [(500 + k, rows[5 + k][1], "en", "s", 1) for k in range(20)] + [(600, rows[9][1] + " more", "en", "s", 1), (700, None, None, None, None), (701, "", "en", "s", 1), (702, "12 34", "en", "s", 1), (None, "people walk", None, "s", 1)]
+    rows += [(500 + k, rows[5 + k][1], "en", "s", 1) for k in range(20)] + [(600, rows[9][1] + " more", "en", "s", 1), (700, None, None, None, None), (701, "", "en", "s", 1), (702, "12 34", "en", "s", 1), (703, "ቋንቋ ያልታወቀ", None, "s", 1), (None, "people walk", None, "s", 1)]
     rows += [rows[9]]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
@@ -70,10 +70,10 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert {r[0] for r in rows} >= {k for k in range(300) if k % 4} and not {r[0] for r in rows} & {k for k in range(300) if k % 4 == 0}
 
     profiles = language_id.fit(docs.filter(doc_split("doc_id", 4) != 2))
-    rows = [r for r in rows if profiles.predict(r[1])[0] != "und"]
+    rows = [r for r in rows if profiles.predict(r[1])[0] != "und" and profiles.predict(r[1])[1]]
     docs = shared_table(spark, C.drop_unknown_language(spark, docs, sf), "b")
     assert docs.columns == columns and sorted(map(tuple, docs.collect()), key=key) == sorted(rows, key=key)
-    assert not {r[0] for r in rows} & {700, 701, 702}
+    assert not {r[0] for r in rows} & {700, 701, 702, 703}
 
     comp = brute([r[:2] for r in rows])
     rows = [*{r[0]: r for r in rows if r[0] is not None and comp[r[0]] == r[0]}.values(), *(r for r in rows if r[0] is None)]
