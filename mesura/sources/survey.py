@@ -21,6 +21,8 @@ from mesura.sources.files import write_parquet
 from mesura.sources.tables import read_table
 
 FACT_VERSION = "5"
+#: Order of the rows in each file of the fact; the year is its partition.
+FACT_ORDER = ["anio", "cod_mpio"]
 
 def _columns() -> list[tuple[str, str, str]]:
     """(name, SQL expression, type) in the order of the semantic model."""
@@ -177,11 +179,26 @@ def survey_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line.join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
-def survey_columns(rows: DataFrame) -> DataFrame:
-    """The survey's base columns over joined source rows."""
+def _struct_rows(rows: DataFrame) -> DataFrame:
+    """Joined source rows with each table's columns under its alias too."""
     for alias, prefix in (("l", "l_"), ("o", "o_"), ("c", "c_"), ("n", "n_"), ("r", "r_")):
         rows = rows.withColumn(alias, F.struct(*[F.col(x) for x in rows.columns if x.startswith(prefix)]))
-    return rows.select(*[F.expr(f"cast({x} as {t})").alias(nm) for nm, x, t in SURVEY_COLUMNS])
+    return rows
+
+
+def survey_columns(rows: DataFrame) -> DataFrame:
+    """The survey's base columns over joined source rows. A base column that
+    ``rows`` already has (``sorted_rows``) is taken as it is."""
+    ready = set(rows.columns)
+    return _struct_rows(rows).select(*[F.col(nm) if nm in ready else F.expr(f"cast({x} as {t})").alias(nm) for nm, x, t in SURVEY_COLUMNS])
+
+
+def sorted_rows(rows: DataFrame) -> DataFrame:
+    """Joined source rows with the base columns of ``FACT_ORDER``, rebalanced by
+    year (an exchange that AQE sizes and splits) and sorted in each partition."""
+    order = [F.expr(f"cast({x} as {t})").alias(nm) for nm, x, t in SURVEY_COLUMNS if nm in FACT_ORDER]
+    rows = _struct_rows(rows).select(*rows.columns, *order)
+    return rows.sparkSession.sql("SELECT /*+ REBALANCE(anio) */ * FROM {rows}", rows=rows).sortWithinPartitions(*FACT_ORDER)
 
 
 def survey_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,14 +207,12 @@ def survey_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The enriched fact. The narrow joined rows are rebalanced by year (an
-    exchange that AQE sizes and splits) before the 135 columns are computed,
-    so a year's rows meet in files of bounded size and the wide rows never
-    cross the network."""
+    """The enriched fact. The narrow joined rows are rebalanced and sorted
+    before the 135 columns are computed, so a year's rows meet in files of
+    bounded size and the wide rows cross no network and fill no sort: the
+    writer finds them in the order of the partitions it writes."""
     from mesura.operators.derive import enrich
-    rows = survey_rows(spark, sf_dir).withColumn("survey_year", F.year("o_orderdate"))
-    rows = spark.sql("SELECT /*+ REBALANCE(survey_year) */ * FROM {rows}", rows=rows)
-    return enrich(survey_columns(rows))
+    return enrich(survey_columns(sorted_rows(survey_rows(spark, sf_dir))))
 
 
 _SCHEMAS: dict[tuple[str, str], object] = {}
@@ -223,7 +238,7 @@ def materialise_fact(spark: SparkSession, sf_dir: str, path: str | None = None)
     """
     path = path or fact_path(spark, sf_dir)
     if not path_exists(spark, join_path(path, "_SUCCESS")):
-        write_parquet(build_fact(spark, sf_dir).sortWithinPartitions("anio", "cod_mpio"), path, ["anio"])
+        write_parquet(build_fact(spark, sf_dir), path, ["anio"])
     return path
 
 
