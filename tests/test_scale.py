@@ -49,7 +49,7 @@ def logical_nodes(plan):
     return [plan] + [n for k in range(children.size()) for n in logical_nodes(children.apply(k))]
 
 
-@pytest.mark.parametrize("name", ["event_shares", "event_means", "coverage_in_context", "select_household"])
+@pytest.mark.parametrize("name", ["event_shares", "event_means", "coverage_in_context", "select_household", "accumulated_measures"])
 def test_fact_is_sorted_before_it_is_wide(spark, tmp_path, monkeypatch, name):
     """The query's fact reaches the writer in the order that it needs (which
     adds no sort of its own then), from a sort of the joined source rows."""
